@@ -19,7 +19,7 @@ from starmart.operators import aggregates, cleaning, joins, quality
 from starmart.operators.keys import dense_key
 from starmart.operators.synth import mock_orders
 from starmart.plans import gold, silver
-from starmart.session import scratch_path
+from starmart.session import run_together, scratch_path
 from starmart.sources import readers, writers
 from starmart.streaming import marks
 from starmart.streaming.incremental import LoadResult, load_increment
@@ -414,7 +414,7 @@ def agg_monthly_revenue(spark, folder):
 def join_category(spark, folder):
     products = silver.products(raw_frame(spark, folder, "products"))
     category = silver.category_translation(raw_frame(spark, folder, "category_translation"))
-    return joins.lookup(products, category, "product_category_name").select(
+    return joins.left_join(products, category, "product_category_name").select(
         "product_id", "product_category_name", "product_category_name_english"
     )
 
@@ -464,21 +464,21 @@ def join_dim_customer(spark, folder):
     orders = load(spark, folder, "orders").selectExpr(
         "o_orderkey as order_id", "o_custkey as customer_id"
     )
-    return joins.lookup(orders, dim, "customer_id")
+    return joins.left_join(orders, dim, "customer_id")
 
 
 @query
 def join_dim_product(spark, folder):
     known = load(spark, folder, "part").filter(F.col("p_type") != "SMALL")
     dim = dense_key(known.selectExpr("p_partkey as product_id"), "product_key", ["product_id"])
-    return joins.lookup(_lines(spark, folder), dim, "product_id")
+    return joins.left_join(_lines(spark, folder), dim, "product_id")
 
 
 @query
 def join_dim_seller(spark, folder):
     known = load(spark, folder, "supplier").filter(F.col("s_acctbal") > 0)
     dim = dense_key(known.selectExpr("s_suppkey as seller_id"), "seller_key", ["seller_id"])
-    return joins.lookup(_lines(spark, folder), dim, "seller_id")
+    return joins.left_join(_lines(spark, folder), dim, "seller_id")
 
 
 @query
@@ -701,13 +701,19 @@ def dim_location(spark, folder):
 def fact_sales(spark, folder):
     orders = _silver_orders(spark, folder)
     customers = silver.customers(raw_frame(spark, folder, "customers"))
+    known = customers.filter(F.col("customer_city") != "machinery")
+    by_customer, by_product, by_seller = run_together(
+        lambda: gold.dim_customer(known),
+        lambda: dim_product(spark, folder),
+        lambda: dim_seller(spark, folder),
+    )
     return gold.fact_sales(
         silver.order_items(raw_frame(spark, folder, "order_items")),
         orders,
         silver.payments(raw_frame(spark, folder, "payments")),
         _silver_reviews(spark, folder),
-        gold.dim_customer(customers.filter(F.col("customer_city") != "machinery")),
-        dim_product(spark, folder),
-        dim_seller(spark, folder),
+        by_customer,
+        by_product,
+        by_seller,
         gold.dim_date(orders),
     )

@@ -8,9 +8,11 @@ repeated rows and values out of range are derived here from the data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -28,8 +30,8 @@ _STATE = (
 
 
 def cents(expression: str) -> str:
-    """Round a decimal expression to cents and give a double."""
-    return f"cast(cast({expression} as decimal(18,2)) as double)"
+    """A double rounded to cents by the same arithmetic in both engines."""
+    return f"floor({expression} * 100 + 0.5) / 100"
 
 
 RAW = {
@@ -66,11 +68,9 @@ RAW = {
             "order_item_id": "l_linenumber",
             "product_id": "l_partkey",
             "seller_id": "l_suppkey",
-            "shipping_limit_date": "cast(l_shipdate as string)",
+            "shipping_limit_date": "l_shipdate",
             "price": "l_extendedprice",
-            "freight_value": cents(
-                "cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2))"
-            ),
+            "freight_value": cents("l_extendedprice * l_tax"),
         },
     ),
     "payments": RawTable(
@@ -80,9 +80,7 @@ RAW = {
             "payment_sequential": "l_linenumber",
             "payment_type": "concat(' ', l_returnflag, '  ')",
             "payment_installments": "cast(l_quantity as int)",
-            "payment_value": cents(
-                "cast(l_extendedprice as decimal(18,2)) * cast(0.01 as decimal(4,2))"
-            ),
+            "payment_value": cents("l_extendedprice / 100"),
         },
     ),
     "reviews": RawTable(
@@ -154,8 +152,15 @@ RAW = {
 }
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """Scan a table; its schema is read from the file once per session."""
+    path = f"{folder}/{table}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _source(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -1,26 +1,16 @@
-"""Left outer lookups."""
+"""Left outer joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Two or three narrow columns: about 50 MB as a hash table at the limit.
-BROADCAST_ROWS = 500_000
 
 
 def left_join(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Left outer equi-join; Spark picks the strategy and splits hot keys on the left (AQE)."""
-    return left.join(right, on, "left")
-
+    """Left outer equi-join without hints, for lookups and for order-grain tables.
 
-def lookup(left: DataFrame, right: DataFrame, on: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Left outer join to a dimension.
-
-    The right side is counted first (on Parquet this reads only the file footers). Up to
-    ``limit`` rows it is broadcast, so the left side is not shuffled and a hot key does no
-    harm. Above that it is a shuffle join whose hot left partitions AQE splits.
+    Spark checks the size of the right side, from file statistics before it starts and from
+    shuffle statistics while it runs. Up to spark.sql.autoBroadcastJoinThreshold it broadcasts it:
+    the left side then is not shuffled and a hot key does no harm. Above that it shuffles
+    both sides, and AQE splits a left partition that holds a hot key over several tasks.
     """
-    if right.count() <= limit:
-        right = F.broadcast(right)
-    return left_join(left, right, on)
+    return left.join(right, on, "left")

@@ -30,7 +30,7 @@ def dim_seller(sellers: DataFrame, region: Column | None = None) -> DataFrame:
 
 def dim_product(products: DataFrame, category: DataFrame) -> DataFrame:
     """A category with two translations gives two rows per product."""
-    rows = joins.lookup(products, category, "product_category_name").select(
+    rows = joins.left_join(products, category, "product_category_name").select(
         "product_id",
         "product_category_name",
         "product_category_name_english",
@@ -108,7 +108,7 @@ def order_level(
         "delivery_days",
         "is_late",
     )
-    placed = joins.lookup(placed, dim_customer.select("customer_id", "customer_key"), "customer_id")
+    placed = joins.left_join(placed, dim_customer.select("customer_id", "customer_key"), "customer_id")
     days = F.broadcast(dim_date.select("full_date", "date_key"))
     placed = joins.left_join(placed, days, "full_date").drop("customer_id", "full_date")
     return placed.join(order_measures(payments, reviews), "order_id", "full")
@@ -134,8 +134,8 @@ def fact_sales(
     lines = items.select(
         "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
     )
-    lines = joins.lookup(lines, dim_product.select("product_id", "product_key"), "product_id")
-    lines = joins.lookup(lines, dim_seller.select("seller_id", "seller_key"), "seller_id")
+    lines = joins.left_join(lines, dim_product.select("product_id", "product_key"), "product_id")
+    lines = joins.left_join(lines, dim_seller.select("seller_id", "seller_key"), "seller_id")
     lines = lines.drop("product_id", "seller_id")
     per_order = order_level(orders, payments, reviews, dim_customer, dim_date)
     return joins.left_join(lines, per_order, "order_id").select(

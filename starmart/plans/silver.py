@@ -1,7 +1,8 @@
 """Raw tables to cleaned, typed tables.
 
 Row filters come before the dedupe: they look at one row at a time, so the result is the same
-and fewer rows are shuffled. Text is standardized after the dedupe.
+and fewer rows are shuffled. Timestamps are parsed before it, as eight bytes
+group faster than text; other text is standardized after it.
 """
 
 from __future__ import annotations
@@ -103,12 +104,13 @@ def reviews(raw: DataFrame, mark: datetime) -> DataFrame:
 def order_items(raw: DataFrame) -> DataFrame:
     kept = cleaning.require(raw, "order_id", "product_id", "seller_id")
     kept = cleaning.not_negative(cleaning.positive(kept, "price"), "freight_value")
+    kept = _parsed(kept, {"shipping_limit_date": "shipping_limit_ts"})
     return cleaning.drop_exact_copies(kept).select(
         "order_id",
         "order_item_id",
         "product_id",
         "seller_id",
-        text.parse_timestamp("shipping_limit_date").alias("shipping_limit_ts"),
+        "shipping_limit_ts",
         "price",
         "freight_value",
         measures.line_total("price", "freight_value").alias("total_item_value"),

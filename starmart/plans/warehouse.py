@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +12,7 @@ from starmart.operators.aggregates import monthly_revenue
 from starmart.operators.quality import SPECS, quality_report_all
 from starmart.operators.synth import mock_orders
 from starmart.plans import gold, silver
+from starmart.session import run_together
 from starmart.sources import readers, schemas, writers
 from starmart.streaming import marks
 from starmart.streaming.incremental import LoadResult, load_increment
@@ -175,10 +177,12 @@ class Warehouse:
         """Load new rows and rebuild the rest. Dimensions and fact are rebuilt together,
         because dense keys shift when a dimension gains rows."""
         self.init_control(keep=True)
-        counts = {"orders": self.load_orders().rows, "reviews": self.load_reviews().rows}
-        for table in REBUILT:
-            counts[table] = self.rebuild_silver(table)
-        for table in STAR[:-1]:
-            counts[table] = self.build_dimension(table)
+        loaded = run_together(
+            lambda: self.load_orders().rows,
+            lambda: self.load_reviews().rows,
+            *[partial(self.rebuild_silver, table) for table in REBUILT],
+        )
+        keyed = run_together(*[partial(self.build_dimension, table) for table in STAR[:-1]])
+        counts = dict(zip(("orders", "reviews", *REBUILT, *STAR[:-1]), loaded + keyed, strict=True))
         counts["fact_sales"] = self.build_fact()
         return counts

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -27,6 +30,12 @@ def build_session(app: str = "starmart", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+def run_together(*jobs: Callable[[], object]) -> list:
+    """Run independent Spark jobs at the same time, so that small ones do not idle the cluster."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only on a local master without it."""
     context = spark.sparkContext
