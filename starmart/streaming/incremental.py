@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators.aggregates import latest
 from starmart.operators.cleaning import drop_exact_copies
 from starmart.sources.readers import read_parquet
 from starmart.sources.writers import (
@@ -31,21 +34,28 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def loaded_after(target: DataFrame, ts: str, since: datetime, by_month: bool) -> DataFrame:
+    """Target rows after a time. Month directories and file statistics skip all older data."""
+    rows = after_mark(target, ts, since)
+    if by_month:
+        first = since - timedelta(days=1)
+        rows = rows.filter(F.col("year") * 12 + F.col("month") >= first.year * 12 + first.month)
+    return rows
+
+
 def without_loaded(
-    batch: DataFrame, target: DataFrame, key: str, ts: str, since: datetime, by_month: bool
+    batch: DataFrame, loaded: DataFrame, key: str, ts: str, mark: datetime
 ) -> DataFrame:
-    """Leave out rows that an interrupted run or a lookback window has already loaded.
+    """Leave out rows that an interrupted run or the lookback window has loaded before.
 
-    Only target rows after ``since`` can be among them. Normally there are none, which the month
-    directories and the file statistics tell almost without reading, and no join is needed.
+    After the mark these are equal rows, as a key may rightly occur twice in one
+    load. Up to the mark it is every row whose key is known.
     """
-    loaded = after_mark(target, ts, since)
-    if by_month:
-        first = since - timedelta(days=1)
-        loaded = loaded.filter(F.col("year") * 12 + F.col("month") >= first.year * 12 + first.month)
-    if not has_rows(loaded):
-        return batch
-    return batch.join(loaded.select(key), key, "left_anti")
+    shared = [c for c in batch.columns if c in loaded.columns]
+    new, old = batch.alias("new"), loaded.select(*shared).alias("old")
+    equal = reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in shared])
+    late = F.col(f"new.{ts}") <= F.lit(mark)
+    return new.join(old, (F.col(f"new.{key}") == F.col(f"old.{key}")) & (late | equal), "left_anti")
 
 
 def load_increment(
@@ -64,23 +74,30 @@ def load_increment(
     """Load what is newer than the mark of ``table``.
 
     ``candidates`` are cleaned rows with a parsed ``ts``; ``finish`` adds the features.
-    Nothing is written when there are no new rows. The data is written before the mark, and a
+    No rows are written when none are new. The data is written before the mark, and a
     second run after a crash in between adds no row twice. The new mark is the
     latest ``ts`` of the batch, also over rows that ``finish`` drops, and it never moves back.
     ``lookback`` reads again from before the mark, for rows that arrive late.
     """
     mark = get_mark(spark, control_path, table)
     since = mark - lookback if lookback else mark
-    new = after_mark(candidates, ts, since)
-    shape = finish(new)
+    batch = after_mark(candidates, ts, since)
+    shape = finish(batch)
     create_if_missing(shape, target_path, *partition_by)
     target = read_parquet(spark, target_path, shape.schema)
-    batch = without_loaded(new, target, key, ts, since, bool(partition_by))
+    loaded = loaded_after(target, ts, since, bool(partition_by))
+    if has_rows(loaded):
+        batch = without_loaded(batch, loaded, key, ts, mark)
+
     if not has_rows(batch):
-        return LoadResult(0, mark)
+        ahead = loaded_after(target, ts, mark, bool(partition_by))
+        reached = latest(ahead, ts, "newest").first()["newest"]
+        if reached:
+            set_mark(spark, control_path, table, reached)
+        return LoadResult(0, reached or mark)
 
     seen, seen_metrics = observed(
-        drop_exact_copies(batch), f"{table}_batch", F.max(ts).alias("latest")
+        drop_exact_copies(batch), f"{table}_batch", F.max(ts).alias("newest")
     )
     result, result_metrics = observed(finish(seen), f"{table}_rows")
     if partition_by:
@@ -88,6 +105,6 @@ def load_increment(
     else:
         append_parquet(result, target_path)
 
-    latest = max(mark, seen_metrics.get["latest"] or mark)
-    set_mark(spark, control_path, table, latest)
-    return LoadResult(result_metrics.get["rows"], latest)
+    reached = max(mark, seen_metrics.get["newest"])
+    set_mark(spark, control_path, table, reached)
+    return LoadResult(result_metrics.get["rows"], reached)

@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.operators.keys import dense_key
+
+
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_keys_follow_the_business_key(spark, many_partitions):
+    df = spark.range(10_000).select(
+        F.format_string("c%08d", 9_999 - F.col("id")).alias("name"), F.col("id").alias("n")
+    )
+    keyed = dense_key(df, "k", ["name"])
+    assert keyed.columns == ["k", "name", "n"]
+    rows = keyed.orderBy("k").collect()
+    assert [r["k"] for r in rows] == list(range(10_000))
+    assert [r["n"] for r in rows] == list(range(9_999, -1, -1))
+
+
+def test_keys_do_not_depend_on_partitioning(spark, many_partitions):
+    df = spark.range(5_000).select(F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    one = dense_key(df.repartition(1), "k", ["name"])
+    other = dense_key(df.repartition(13), "k", ["name"])
+    assert one.join(other, ["k", "name"]).count() == 5_000
+
+
+def test_hot_key_and_copies_spread_over_partitions(spark, many_partitions):
+    """A third of the rows share the key, a third are equal in every column."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") < 20_000, 7).otherwise(F.col("id")).alias("name"),
+        F.when(F.col("id") < 10_000, 0).otherwise(F.col("id")).alias("n"),
+    )
+    keyed = dense_key(df, "k", ["name"])
+    stats = keyed.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()
+    assert tuple(stats) == (0, 29_999, 30_000)
+    largest = keyed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 8_000
+    assert keyed.filter("name = 7 and n = 0").count() == 10_000
+
+
+def test_empty_table(spark):
+    assert dense_key(spark.range(0), "k", ["id"]).count() == 0
+
+
+def test_null_business_key_comes_first(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "name string")
+    got = {r["name"]: r["k"] for r in dense_key(df, "k", ["name"]).collect()}
+    assert got == {None: 0, "a": 1, "b": 2}
