@@ -84,7 +84,7 @@ def sink_partitioned_append(spark, folder):
     orders = load(spark, folder, "orders").withColumns(
         {"year": F.year(at), "month": F.month(at)}
     )
-    for part in (orders.filter(at <= F.lit(ORDERS_MARK)), orders.filter(at > F.lit(ORDERS_MARK))):
+    for part in (orders.filter(F.year(at) < 1998), orders.filter(F.year(at) >= 1998)):
         writers.append_partitioned(part, path, "year", "month")
     return readers.read_parquet(spark, path)
 
@@ -433,7 +433,7 @@ def _new_orders(spark, folder):
     orders = load(spark, folder, "orders").selectExpr(
         "o_orderkey as order_id", "o_custkey as customer_id", "o_orderdate as purchase_ts"
     )
-    return orders.filter(F.col("purchase_ts") > F.lit(ORDERS_MARK))
+    return marks.after_mark(orders, "purchase_ts", ORDERS_MARK)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import timedelta
 from functools import partial
 
@@ -33,11 +33,15 @@ REBUILT = {
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Folders of one warehouse. ``raw`` holds the CSV files, all else lies under ``root``."""
+    """Folders of one warehouse: CSV files (or folders of them) under ``raw``, all else under ``root``.
+
+    ``raw_names`` gives the names of raw files that are not simply ``<table>.csv``.
+    """
 
     spark: SparkSession
     raw: str
     root: str
+    raw_names: dict[str, str] = field(default_factory=dict)
     infer_types: bool = False
     multi_line_tables: tuple[str, ...] = schemas.FREE_TEXT_TABLES
 
@@ -62,7 +66,7 @@ class Warehouse:
     def read_raw(self, table: str) -> DataFrame:
         return readers.read_csv(
             self.spark,
-            f"{self.raw}/{schemas.RAW_FILES[table]}",
+            f"{self.raw}/{self.raw_names.get(table, table + '.csv')}",
             schemas.RAW_COLUMNS[table],
             multi_line=table in self.multi_line_tables,
             infer=self.infer_types,
@@ -152,9 +156,7 @@ class Warehouse:
     def report_quality(self) -> DataFrame:
         """Reports of all raw tables, one directory per table."""
         report = quality_report_all({table: self.read_raw(table) for table in SPECS})
-        report.coalesce(1).write.mode("overwrite").partitionBy("table_name").parquet(
-            self.quality_path
-        )
+        writers.overwrite_partitioned(report, self.quality_path, "table_name")
         return readers.read_parquet(self.spark, self.quality_path)
 
     def export_star(self, target: writers.JdbcTarget, tables: tuple[str, ...] = STAR) -> None:

@@ -82,19 +82,6 @@ RAW_COLUMNS = {
 # Tables whose free text may hold line breaks inside quotes.
 FREE_TEXT_TABLES = ("reviews",)
 
-# File names in the raw folder.
-RAW_FILES = {
-    "orders": "olist_orders_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "payments": "olist_order_payments_dataset.csv",
-    "reviews": "olist_order_reviews_dataset.csv",
-    "customers": "olist_customers_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "category_translation": "product_category_name_translation.csv",
-}
-
 CONTROL = T.StructType(
     [
         T.StructField("table_name", T.StringType(), False),

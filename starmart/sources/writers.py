@@ -22,6 +22,11 @@ def create_if_missing(df: DataFrame, path: str, *names: str) -> None:
     df.limit(0).write.mode("ignore").partitionBy(*names).parquet(path)
 
 
+def overwrite_partitioned(df: DataFrame, path: str, *names: str) -> None:
+    """For reports: the few rows are already in as few tasks as there are directories."""
+    df.write.mode("overwrite").partitionBy(*names).parquet(path)
+
+
 def append_partitioned(df: DataFrame, path: str, *names: str) -> None:
     """Append into one directory per value of ``names``.
 
@@ -32,9 +37,12 @@ def append_partitioned(df: DataFrame, path: str, *names: str) -> None:
 
 
 def write_csv_report(df: DataFrame, path: str, order_by: list[str]) -> None:
-    """One CSV file with header, in order. For grouped results of report size only."""
+    """One CSV file with header, in order. For grouped results of report size only.
+
+    The repartition, unlike a coalesce, leaves the grouping before it spread over tasks.
+    """
     (
-        df.coalesce(1)
+        df.repartition(1)
         .sortWithinPartitions(*order_by)
         .write.mode("overwrite")
         .option("header", True)

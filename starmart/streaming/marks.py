@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.sources.readers import read_parquet
 from starmart.sources.schemas import CONTROL
@@ -50,6 +51,13 @@ def get_mark(spark: SparkSession, path: str, table: str) -> datetime:
     return row[0] if row and row[0] else START
 
 
-def after_mark(df: DataFrame, ts: str, mark: datetime | Column) -> DataFrame:
-    """Rows strictly after the mark. Null timestamps are dropped."""
-    return df.filter(F.col(ts) > (mark if isinstance(mark, Column) else F.lit(mark)))
+def after_mark(df: DataFrame, ts: str, mark: datetime) -> DataFrame:
+    """Rows strictly after the mark. Null timestamps are dropped.
+
+    The mark takes the type of the column, not the other way round, so that the filter
+    reaches the file statistics of zoneless timestamps too.
+    """
+    bound = F.lit(mark)
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        bound = bound.cast("timestamp_ntz")
+    return df.filter(F.col(ts) > bound)

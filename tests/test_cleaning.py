@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from starmart.operators import aggregates, cleaning
+from tests.plans import plan_of
 
 
 def column(df, name):
@@ -16,7 +17,8 @@ def test_exact_copies_go_and_padded_variants_stay(spark):
 def test_required_columns_drop_null_and_nan(spark):
     rows = [("a", 1.0), (None, 1.0), ("a", None), ("a", float("nan")), (None, None)]
     df = spark.createDataFrame(rows, "k string, lat double")
-    assert cleaning.require(df, "k", "lat").count() == 1
+    kept = cleaning.require(df, "k", "lat")
+    assert kept.count() == df.na.drop(subset=["k", "lat"]).count() == 1
     assert cleaning.not_null(df, "k").count() == 3
 
 
@@ -54,3 +56,10 @@ def test_first_rows(spark):
 def test_latest_of_nothing_is_null(spark):
     df = spark.createDataFrame([], "ts timestamp")
     assert aggregates.latest(df, "ts", "newest").first()["newest"] is None
+
+
+def test_required_columns_are_tested_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("a", 1.0)], "k string, lat double").write.parquet(path)
+    plan = plan_of(cleaning.require(spark.read.parquet(path), "k", "lat"))
+    assert "IsNotNull(k), IsNotNull(lat)" in plan

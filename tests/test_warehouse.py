@@ -1,0 +1,127 @@
+"""From raw CSV files to the star schema, run twice."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from starmart.__main__ import parser, run
+from starmart.plans.warehouse import STAR, Warehouse
+from starmart.sources.schemas import RAW_COLUMNS
+
+ROWS = {
+    "orders": [
+        "o1,c1,delivered,2018-03-03 10:00:00,2018-03-03 11:00:00,2018-03-04 00:00:00,2018-03-08 09:00:00,2018-03-07 00:00:00",
+        "o1,c1,delivered,2018-03-03 10:00:00,2018-03-03 11:00:00,2018-03-04 00:00:00,2018-03-08 09:00:00,2018-03-07 00:00:00",
+        "o2,c2,shipped,2018-04-01 00:00:00,,,,2018-05-01 00:00:00",
+        "o3,c2,,2018-04-02 00:00:00,,,,2018-05-01 00:00:00",
+        "o4,c2,delivered,2018-04-03 00:00:00,,,2018-04-01 00:00:00,2018-05-01 00:00:00",
+    ],
+    "order_items": [
+        "o1,1,p1,s1,2018-03-05 00:00:00,100.00,10.50",
+        "o1,2,p2,s1,2018-03-05 00:00:00,50.00,0",
+        "o2,1,p1,s2,2018-04-05 00:00:00,20.00,-1",
+        "o2,2,p1,s2,2018-04-05 00:00:00,20.00,5",
+        "o2,3,p1,s2,2018-04-05 00:00:00,0,5",
+    ],
+    "payments": ["o1,1, Credit_Card ,3,160.50", "o1,2,voucher,1,0", "o2,1,boleto,1,25"],
+    "reviews": [
+        'r1,o1,5,great,"arrived ""fast""\nthank you",2018-03-09 00:00:00,2018-03-10 00:00:00',
+        "r2,o2,0,,,2018-04-09 00:00:00,",
+        "r3,o2,3,,   ,2018-04-10 00:00:00,",
+    ],
+    "customers": ["c1,u1,01001, Sao Paulo ,sp", "c2,u2,90010,Porto Alegre,RS"],
+    "sellers": ["s1,01002,SAO PAULO,SP", "s2,40010,salvador,ba "],
+    "products": ["p1, Toys ,10,20,1,900,20,20,20", "p2,,10,20,1,,10,10,10"],
+    "geolocation": ["01001,-23.0,-46.0, Sao Paulo,sp", "01001,-24.0,-47.0,sao paulo,SP", ",1,1,x,SP"],
+    "category_translation": [" toys,Games"],
+}
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for table, lines in ROWS.items():
+        text = "\n".join([",".join(RAW_COLUMNS[table]), *lines]) + "\n"
+        (raw / f"{table}.csv").write_text(text)
+    return Warehouse(spark, str(raw), str(tmp_path / "house"))
+
+
+def contents(house):
+    return {t: sorted(map(tuple, house.read_gold(t).collect()), key=str) for t in STAR}
+
+
+def test_all_jobs_twice(house):
+    counts = house.run_all()
+    assert counts == {
+        "orders": 2,
+        "reviews": 2,
+        "order_items": 3,
+        "payments": 2,
+        "customers": 2,
+        "sellers": 2,
+        "products": 2,
+        "geolocation": 1,
+        "category_translation": 1,
+        "dim_customer": 2,
+        "dim_product": 2,
+        "dim_seller": 2,
+        "dim_date": 2,
+        "dim_location": 1,
+        "fact_sales": 3,
+    }
+    first = contents(house)
+    assert first["fact_sales"] == [
+        (0, 0, 0, 20180303, "o1", 1, 100.0, 10.5, 160.5, 5.0, 5, 1),
+        (0, 1, 0, 20180303, "o1", 2, 50.0, 0.0, 160.5, 5.0, 5, 1),
+        (1, 0, 1, 20180401, "o2", 2, 20.0, 5.0, 25.0, 3.0, None, 0),
+    ]
+    assert first["dim_customer"][0] == (0, "c1", "u1", "sao paulo", "SP", "Southeast")
+    assert first["dim_location"] == [("01001_SP", "01001", "sao paulo", "SP", -23.5, -46.5)]
+    review = house.read_silver("reviews").filter("review_id = 'r1'").first()
+    assert review["review_comment_message"] == 'arrived "fast"\nthank you'
+    assert (review["sentiment"], review["has_comment"]) == ("positive", 1)
+
+    again = house.run_all()
+    assert (again["orders"], again["reviews"], again["fact_sales"]) == (0, 0, 3)
+    assert contents(house) == first
+
+
+def test_quality_report(house):
+    report = house.report_quality()
+    orders = {r["metric_name"]: r["metric_value"] for r in report.filter("table_name = 'orders'").collect()}
+    assert orders == {
+        "row_count": 5,
+        "null_order_id": 0,
+        "null_customer_id": 0,
+        "null_order_status": 1,
+        "duplicate_order_id": 1,
+    }
+    assert report.select("table_name").distinct().count() == 9
+
+
+def test_mock_orders_and_revenue_report(house, tmp_path):
+    house.write_mock_orders(500)
+    path = tmp_path / "revenue"
+    house.report_monthly_revenue(str(path))
+    lines = next(path.glob("*.csv")).read_text().split()
+    assert lines[0] == "year,month,revenue" and len(lines) == 13
+    assert [line.split(",")[:2] for line in lines[1:]] == [["2018", str(m)] for m in range(1, 13)]
+    total = sum(r["price"] for r in house.read_gold("orders_mock").collect())
+    assert sum(float(line.split(",")[2]) for line in lines[1:]) == pytest.approx(total)
+
+
+def test_command_line(house):
+    def command(*words):
+        return run(parser().parse_args(["--root", house.root, *words]), house)
+
+    command("init-marks")
+    command("set-mark", "orders", "2018-04-01 00:00:00")
+    assert command("silver", "orders").rows == 0
+    command("set-mark", "orders", "2018-03-31")
+    result = command("silver", "orders")
+    assert result.rows == 1 and result.mark == datetime(2018, 4, 3)
+    assert command("silver", "customers") == 2
+    assert command("dimension", "dim_customer") == 2
