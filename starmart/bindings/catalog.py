@@ -700,10 +700,8 @@ def dim_location(spark, folder):
 @query
 def fact_sales(spark, folder):
     orders = _silver_orders(spark, folder)
-    customers = silver.customers(raw_frame(spark, folder, "customers"))
-    known = customers.filter(F.col("customer_city") != "machinery")
     by_customer, by_product, by_seller = run_together(
-        lambda: gold.dim_customer(known),
+        lambda: dim_customer(spark, folder),
         lambda: dim_product(spark, folder),
         lambda: dim_seller(spark, folder),
     )

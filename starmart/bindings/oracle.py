@@ -168,10 +168,7 @@ def _dim_date(source: str) -> str:
 
 _FACT = f"""
     with orders_s as {_silver('orders')},
-    dim_c as (
-        select {_key('customer_id')} as customer_key, customer_id
-        from {_silver('customers')} where customer_city <> 'machinery'
-    ),
+    dim_c as ({_DIM_CUSTOMER}),
     dim_p as ({_DIM_PRODUCT}),
     dim_s as ({_DIM_SELLER}),
     dim_d as ({_dim_date('orders_s')}),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.session import shared_folder
+from starmart.session import scratch_path
+from starmart.sources.readers import read_parquet
+from starmart.sources.writers import overwrite_parquet
 
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
@@ -14,28 +18,28 @@ _ROW_MASK = (1 << _ROW_BITS) - 1
 def dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     """Number the rows 0, 1, 2 … in the order of ``order_by`` without a one-task window.
 
-    Rows are range-partitioned and sorted, then numbered inside each partition; the number
-    of rows in the partitions before gives the offset. The offsets have one row per
-    partition, whatever the table size, so they are broadcast. The other columns and a random
-    number follow in the sort order: a business key that repeats, or many equal rows, still
-    spread over partitions (equal rows are interchangeable, so results do not change).
+    Rows are range-partitioned and sorted, then numbered inside each partition. What comes to
+    the driver is one row count per partition, so as many numbers as the shuffle has
+    partitions; their running total, a constant in the plan, gives each partition its
+    first key. The other columns and a random number follow in the sort order: a business key
+    that repeats, or many equal rows, still spread over partitions (equal rows are
+    interchangeable, so results do not change).
 
-    The numbered rows are checkpointed before they are counted: the range bounds come from
-    a sample, and a recomputed partition could otherwise hold other rows.
+    The numbered rows are kept in a table in the shared folder before they are counted: the
+    range bounds come from a sample, and a recomputed partition could otherwise hold other rows.
     """
-    shared_folder(df.sparkSession)
+    spark = df.sparkSession
     rest = [name for name in df.columns if name not in order_by]
-    placed = (
-        df.orderBy(*order_by, *rest, F.rand(7))
-        .withColumn("_position", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("_part", F.shiftright("_position", _ROW_BITS))
-    )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    path = scratch_path(spark, key)
+    numbered = df.orderBy(*order_by, *rest, F.rand(7)).withColumn(
+        "_position", F.monotonically_increasing_id()
     )
-    number = F.col("_offset") + F.col("_position").bitwiseAND(F.lit(_ROW_MASK))
-    return placed.join(F.broadcast(offsets), "_part").select(number.alias(key), *df.columns)
+    overwrite_parquet(numbered, path)
+
+    placed = read_parquet(spark, path, numbered.schema)
+    part = F.shiftright("_position", _ROW_BITS).cast("int")
+    rows = dict(placed.groupBy(part.alias("part")).count().collect())
+    first = accumulate((rows.get(i, 0) for i in range(max(rows, default=0))), initial=0)
+    starts = F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>")
+    number = starts[part] + F.col("_position").bitwiseAND(F.lit(_ROW_MASK))
+    return placed.select(number.alias(key), *df.columns)
