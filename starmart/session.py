@@ -16,7 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -4,6 +4,7 @@ from collections import Counter
 
 from starmart.operators import quality
 from starmart.operators.quality import SPECS, QualitySpec
+from starmart.plans import silver
 from tests.plans import plan_of
 
 
@@ -45,3 +46,16 @@ def test_report_scans_once(spark, tmp_path):
         spark.read.parquet(str(tmp_path / "t")), QualitySpec(("id",), ("id",))
     )
     assert plan_of(report).count("FileScan") == 1
+
+
+def test_names_that_are_equal_only_after_cleaning_are_reported(spark):
+    """The product dimension would get two rows per product; the report shows it beforehand."""
+    raw = spark.createDataFrame(
+        [("toys", "games"), (" Toys", "games"), ("food", "food")],
+        "product_category_name string, product_category_name_english string",
+    )
+    spec = SPECS["category_translation"]
+    before = dict(map(tuple, quality.quality_report(raw, spec).collect()))
+    after = dict(map(tuple, quality.quality_report(silver.category_translation(raw), spec).collect()))
+    assert before["duplicate_product_category_name"] == 0
+    assert after["duplicate_product_category_name"] == 1 and after["row_count"] == 3
