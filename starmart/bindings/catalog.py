@@ -550,7 +550,8 @@ def ctl_init(spark, folder):
 
 def _newest(spark, folder, table: str, ts: str) -> datetime:
     """The latest timestamp: one value, whatever the table size."""
-    return aggregates.latest(load(spark, folder, table), ts, "newest").first()[0]
+    newest = aggregates.latest(load(spark, folder, table), ts, "newest")
+    return newest.select(marks.wall_clock(F.col("newest"))).first()[0]
 
 
 @query

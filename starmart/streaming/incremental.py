@@ -20,7 +20,7 @@ from starmart.sources.writers import (
     create_if_missing,
     observed,
 )
-from starmart.streaming.marks import after_mark, get_mark, set_mark
+from starmart.streaming.marks import after_mark, get_mark, set_mark, wall_clock
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ def without_loaded(
     shared = [c for c in batch.columns if c in loaded.columns]
     new, old = batch.alias("new"), loaded.select(*shared).alias("old")
     equal = reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in shared])
-    late = F.col(f"new.{ts}") <= F.lit(mark)
+    late = F.col(f"new.{ts}") <= F.lit(mark.isoformat(sep=" ")).cast("timestamp")
     return new.join(old, (F.col(f"new.{key}") == F.col(f"old.{key}")) & (late | equal), "left_anti")
 
 
@@ -91,13 +91,14 @@ def load_increment(
 
     if not has_rows(batch):
         ahead = loaded_after(target, ts, mark, bool(partition_by))
-        reached = latest(ahead, ts, "newest").first()["newest"]
+        newest = latest(ahead, ts, "newest").select(wall_clock(F.col("newest")))
+        reached = newest.first()[0]
         if reached:
             set_mark(spark, control_path, table, reached)
         return LoadResult(0, reached or mark)
 
     seen, seen_metrics = observed(
-        drop_exact_copies(batch), f"{table}_batch", F.max(ts).alias("newest")
+        drop_exact_copies(batch), f"{table}_batch", wall_clock(F.max(ts)).alias("newest")
     )
     result, result_metrics = observed(finish(seen), f"{table}_rows")
     if partition_by:

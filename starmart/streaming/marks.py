@@ -1,15 +1,17 @@
 """High-water marks: how far each source table has been loaded.
 
 One directory per table (``table_name=…``), so setting a mark rewrites that table's row only.
+
+A mark in Python is wall-clock time in the zone of the session (UTC in ours), whatever the zone of
+the Python process; it crosses over as a zoneless timestamp.
 """
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmart.sources.readers import read_parquet
 from starmart.sources.schemas import CONTROL
@@ -19,8 +21,15 @@ START = datetime(1900, 1, 1)
 TABLES = ("orders", "reviews", "order_items")
 
 
+def wall_clock(ts: Column) -> Column:
+    """A timestamp as it is to be collected."""
+    return ts.cast("timestamp_ntz")
+
+
 def _rows(spark: SparkSession, marks: list[tuple[str, datetime]]) -> DataFrameWriter:
-    return spark.createDataFrame(marks, CONTROL).coalesce(1).write.partitionBy("table_name")
+    rows = spark.createDataFrame(marks, "table_name string, last_processed_ts timestamp_ntz")
+    typed = rows.select("table_name", F.col("last_processed_ts").cast("timestamp"))
+    return typed.coalesce(1).write.partitionBy("table_name")
 
 
 def init_marks(
@@ -47,7 +56,8 @@ def mark_of(marks: DataFrame, table: str) -> DataFrame:
 
 def get_mark(spark: SparkSession, path: str, table: str) -> datetime:
     """The mark of a table, or the start value if it has none."""
-    row = mark_of(read_marks(spark, path), table).first()
+    marks = mark_of(read_marks(spark, path), table)
+    row = marks.select(wall_clock(F.col("last_processed_ts"))).first()
     return row[0] if row and row[0] else START
 
 
@@ -57,7 +67,5 @@ def after_mark(df: DataFrame, ts: str, mark: datetime) -> DataFrame:
     The mark takes the type of the column, not the other way round, so that the filter
     reaches the file statistics of zoneless timestamps too.
     """
-    bound = F.lit(mark)
-    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        bound = bound.cast("timestamp_ntz")
+    bound = F.lit(mark.isoformat(sep=" ")).cast(df.schema[ts].dataType)
     return df.filter(F.col(ts) > bound)

@@ -9,7 +9,7 @@ from starmart.plans import silver
 from starmart.sources.readers import read_parquet
 from starmart.streaming import incremental, marks
 from starmart.streaming.incremental import load_increment
-from tests.plans import plan_of
+from tests.plans import plan_of, settings
 
 COLUMNS = (
     "order_id string, customer_id string, order_status string, order_purchase_timestamp string, "
@@ -74,6 +74,19 @@ def test_marks_start_and_move_alone(spark, tmp_path):
     assert marks.get_mark(spark, path, "orders") == marks.START
 
 
+def test_marks_mean_the_session_zone(spark, tmp_path):
+    """Not the zone of the Python process."""
+    with settings(spark, spark__sql__session__timeZone="Asia/Tokyo"):
+        shop = Shop(spark, str(tmp_path))
+        shop.load([order("a", "2018-01-05 00:30:00")])
+        assert shop.mark() == datetime(2018, 1, 5, 0, 30)
+        rows = [order("a", "2018-01-05 00:30:00"), order("b", "2018-01-05 00:30:01")]
+        assert shop.load(rows).rows == 1
+        marks.set_mark(spark, shop.control, "orders", datetime(2018, 1, 5))
+        stored = marks.mark_of(marks.read_marks(spark, shop.control), "orders")
+        assert stored.selectExpr("cast(last_processed_ts as string)").first()[0] == "2018-01-05 00:00:00"
+
+
 def test_filter_is_strict_and_drops_null(spark):
     at = datetime(2018, 1, 1)
     rows = [(at,), (at + timedelta(microseconds=1),), (None,)]
