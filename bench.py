@@ -58,7 +58,8 @@ def main() -> None:
         f"local[{cpus}]",
         **{
             "spark.sql.shuffle.partitions": cpus,
-            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
         },
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import dates, measures
-from starmart.operators import aggregates, joins
+from starmart.operators import joins
 from starmart.operators.keys import dense_key
 
 

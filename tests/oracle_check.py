@@ -69,7 +69,11 @@ def main() -> int:
     spark = build_session(
         "starmart-check",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = connect(folder)

@@ -155,6 +155,45 @@ def test_order_lines_meet_order_data_in_one_join(spark):
         assert plan_of(gold.fact_sales(*star(spark))).count("BroadcastHashJoin") == 1
 
 
+def test_order_lines_are_shuffled_once_when_the_dimensions_are_small(spark):
+    n = 100_000
+    key = F.col("id")
+    orders = spark.range(n).select(
+        key.alias("order_id"),
+        (key % 100).alias("customer_id"),
+        F.timestamp_seconds(key * 5_000).alias("purchase_ts"),
+        F.lit(1).alias("delivery_days"),
+        F.lit(0).alias("is_late"),
+    )
+    items = spark.range(n).select(
+        (key % 5_000).alias("order_id"),
+        key.alias("order_item_id"),
+        (key % 100).alias("product_id"),
+        (key % 100).alias("seller_id"),
+        F.lit(1.0).alias("price"),
+        F.lit(1.0).alias("freight_value"),
+    )
+    small = spark.range(100)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="64KB"):
+        plan = plan_of(
+            gold.fact_sales(
+                items,
+                orders,
+                orders.select("order_id", F.lit(1.5).alias("payment_value")),
+                orders.select("order_id", F.lit(3).alias("review_score")),
+                small.selectExpr("id as customer_key", "id as customer_id"),
+                small.selectExpr("id as product_key", "id as product_id"),
+                small.selectExpr("id as seller_key", "id as seller_id"),
+                gold.dim_date(orders),
+            )
+        )
+    assert plan.count("BroadcastHashJoin") == 4 and plan.count("SortMergeJoin") == 2
+    # Lines, orders, payments with reviews, all order data; then the days.
+    assert plan.count("Exchange hashpartitioning(order_id") == 4
+    assert plan.count("Exchange hashpartitioning(full_date") == 1
+    assert plan.count("Exchange hashpartitioning") == 5
+
+
 def test_left_join_keeps_unmatched_and_null_keys_and_fans_out(spark):
     left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     right = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +193,11 @@ def test_known_rows_are_looked_for_in_few_months_only(spark, shop):
     plan = plan_of(loaded)
     assert "year" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "GreaterThan(purchase_ts,2018-01-01" in plan
+
+
+def test_written_timestamps_have_statistics(spark, shop):
+    shop.load([order("a", "2018-01-05"), order("b", "2018-01-10")])
+    (file,) = read_parquet(spark, shop.target).inputFiles()
+    footer = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
+    columns = {footer.column(i).path_in_schema: footer.column(i) for i in range(footer.num_columns)}
+    assert columns["purchase_ts"].statistics.has_min_max
