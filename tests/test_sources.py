@@ -109,7 +109,8 @@ def test_create_if_missing_leaves_an_existing_table_alone(spark, tmp_path):
 
 def test_report_is_one_ordered_file_with_header(spark, tmp_path):
     path = tmp_path / "report"
-    df = spark.createDataFrame([(2018, 2, 3.5), (2017, 12, 1.0), (2018, 1, 2.25)], "year int, month int, revenue double")
+    rows = [(2018, 2, 3.5), (2017, 12, 1.0), (2018, 1, 2.25)]
+    df = spark.createDataFrame(rows, "year int, month int, revenue double")
     writers.write_csv_report(df.repartition(3), str(path), ["year", "month"])
     files = list(path.glob("*.csv"))
     assert len(files) == 1
@@ -127,6 +128,13 @@ def test_counts_come_with_the_write(spark, tmp_path):
     assert taken.get["rows"] == 123
 
 
+def test_jdbc_write_asks_for_the_driver_of_the_target(spark):
+    """As far as it goes without a database: Spark looks for the driver class and stops."""
+    target = writers.JdbcTarget("jdbc:none://nowhere", driver="no.such.Driver")
+    with pytest.raises(Exception, match="no.such.Driver"):
+        writers.overwrite_jdbc(spark.range(1), target, "t")
+
+
 def test_jdbc_options_take_credentials_from_the_environment(monkeypatch):
     """Options only: the write itself needs a database, and tests start none."""
     target = writers.JdbcTarget("jdbc:postgresql://host/db")
