@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -36,18 +36,18 @@ def run_together(*jobs: Callable[[], object]) -> list:
         return [done.result() for done in [pool.submit(job) for job in jobs]]
 
 
+_CHOICE = threading.Lock()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only on a local master without it."""
+    """The folder that spark.checkpoint.dir names; where it is unset, one in the warehouse, which is shared too."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        named = tempfile.mkdtemp(prefix="starmart-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
+    with _CHOICE:
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if named is None:
+            named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(named)
     return named
 
 
