@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.common import staged, table
 from starmart.llm.mixing import mixed_documents
+from starmart.llm.quality import good_documents
 from starmart.llm.queries import word_tokenizer
 from starmart.llm.tokens import read_index, token_digest, write_tokens
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixed_documents(docs)
@@ -21,6 +27,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality classifier", quality),
     ("mixing sources to target weights", mixing),
     ("token-ID / binary output", token_output),
 ]

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starmart.llm.common import table
+from starmart.llm.common import crc_of_id, staged, table
+from starmart.llm.langid import language_of
+from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
+from starmart.llm.quality import document_statistics, score, train
 from starmart.llm.tokens import read_index, token_digest, write_tokens
 
 
@@ -25,8 +29,30 @@ def op3_simple8b_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return token_digest(read_index(spark, path))
 
 
+def op4_centroid_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language_of(table(spark, folder, "documents"))
+
+
+def op6_rare_word_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
+def op9_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
+    stats = staged(document_statistics(table(spark, folder, "documents")), "quality-stats")
+    scored = score(stats, train(stats, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(crc_of_id("doc_id") % 5 == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op2_pareto_mix": op2_pareto_mix,
     "op3_simple8b_tokens": op3_simple8b_tokens,
+    "op4_centroid_language": op4_centroid_language,
+    "op6_rare_word_licenses": op6_rare_word_licenses,
+    "op9_quadratic_discriminant": op9_quadratic_discriminant,
 }
 ORACLE: dict[str, str] = {}
