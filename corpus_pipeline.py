@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.common import staged, table
+from starmart.llm.decontaminate import clean_documents
 from starmart.llm.mixing import mixed_documents
 from starmart.llm.quality import good_documents
 from starmart.llm.queries import word_tokenizer
@@ -16,6 +17,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
     return mixed_documents(docs)
@@ -28,6 +34,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality classifier", quality),
+    ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixing),
     ("token-ID / binary output", token_output),
 ]

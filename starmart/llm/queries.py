@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.common import crc_of_id, staged, table
+from starmart.llm.decontaminate import find_leaks
 from starmart.llm.langid import language_of
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
@@ -19,6 +20,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("row")
+
+
 def op2_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
     mix = pareto_mix(table(spark, folder, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -49,6 +54,7 @@ def op9_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spaced_seeds": op1_spaced_seeds,
     "op2_pareto_mix": op2_pareto_mix,
     "op3_simple8b_tokens": op3_simple8b_tokens,
     "op4_centroid_language": op4_centroid_language,

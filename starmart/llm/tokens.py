@@ -41,7 +41,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list(set().union(*pieces) - self.known.keys())
+        new = [piece for piece in set().union(*pieces) if piece not in self.known]
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known = {}
             new = list(set().union(*pieces))
