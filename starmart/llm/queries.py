@@ -12,6 +12,7 @@ from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
 from starmart.llm.quality import document_statistics, score, train
 from starmart.llm.tokens import read_index, token_digest, write_tokens
+from starmart.llm.vectors import near_vectors
 
 
 def word_tokenizer() -> str:
@@ -38,6 +39,10 @@ def op4_centroid_language(spark: SparkSession, folder: str) -> DataFrame:
     return language_of(table(spark, folder, "documents"))
 
 
+def op5_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_rare_word_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_pareto_mix": op2_pareto_mix,
     "op3_simple8b_tokens": op3_simple8b_tokens,
     "op4_centroid_language": op4_centroid_language,
+    "op5_inverted_multi_index": op5_inverted_multi_index,
     "op6_rare_word_licenses": op6_rare_word_licenses,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
 }
