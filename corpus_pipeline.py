@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm.common import staged, table
 from starmart.llm.decontaminate import clean_documents
+from starmart.llm.jaccard import one_of_each
 from starmart.llm.mixing import mixed_documents
 from starmart.llm.quality import good_documents
 from starmart.llm.queries import word_tokenizer
@@ -17,6 +18,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return one_of_each(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark items."""
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -34,6 +40,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality classifier", quality),
+    ("n-gram Jaccard join", jaccard),
     ("benchmark decontamination", decontamination),
     ("mixing sources to target weights", mixing),
     ("token-ID / binary output", token_output),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import crc_of_id, staged, table
 from starmart.llm.decontaminate import find_leaks
+from starmart.llm.jaccard import gram_links
 from starmart.llm.langid import language_of
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
@@ -47,6 +48,10 @@ def op6_rare_word_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
 
+def op8_prefix_tree_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return gram_links(table(spark, folder, "documents"))
+
+
 def op9_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     stats = staged(document_statistics(table(spark, folder, "documents")), "quality-stats")
     scored = score(stats, train(stats, table(spark, folder, "labels")))
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_centroid_language": op4_centroid_language,
     "op5_inverted_multi_index": op5_inverted_multi_index,
     "op6_rare_word_licenses": op6_rare_word_licenses,
+    "op8_prefix_tree_jaccard": op8_prefix_tree_jaccard,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
 }
 ORACLE: dict[str, str] = {}
