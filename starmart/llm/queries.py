@@ -12,6 +12,7 @@ from starmart.llm.langid import language_of
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
 from starmart.llm.quality import document_statistics, score, train
+from starmart.llm.templates import drop_template_lines
 from starmart.llm.tokens import read_index, token_digest, write_tokens
 from starmart.llm.vectors import near_vectors
 
@@ -63,6 +64,12 @@ def op9_quadratic_discriminant(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_log_templates(spark: SparkSession, folder: str) -> DataFrame:
+    kept = drop_template_lines(table(spark, folder, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("kept_chars"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_pareto_mix": op2_pareto_mix,
@@ -72,5 +79,6 @@ QUERIES = {
     "op6_rare_word_licenses": op6_rare_word_licenses,
     "op8_prefix_tree_jaccard": op8_prefix_tree_jaccard,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
+    "op10_log_templates": op10_log_templates,
 }
 ORACLE: dict[str, str] = {}
