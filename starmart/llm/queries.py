@@ -12,6 +12,7 @@ from starmart.llm.langid import language_of
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
 from starmart.llm.quality import document_statistics, score, train
+from starmart.llm.substrings import digest, remove_repeats
 from starmart.llm.templates import drop_template_lines
 from starmart.llm.tokens import read_index, token_digest, write_tokens
 from starmart.llm.vectors import near_vectors
@@ -49,6 +50,10 @@ def op6_rare_word_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return scan_licenses(table(spark, folder, "documents"))
 
 
+def op7_bucket_pointer_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return digest(remove_repeats(table(spark, folder, "documents")))
+
+
 def op8_prefix_tree_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return gram_links(table(spark, folder, "documents"))
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op4_centroid_language": op4_centroid_language,
     "op5_inverted_multi_index": op5_inverted_multi_index,
     "op6_rare_word_licenses": op6_rare_word_licenses,
+    "op7_bucket_pointer_repeats": op7_bucket_pointer_repeats,
     "op8_prefix_tree_jaccard": op8_prefix_tree_jaccard,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_log_templates": op10_log_templates,
