@@ -60,6 +60,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR", "/tmp/starmart-bench"),
             "spark.driver.memory": "16g",
         },
     )

@@ -26,7 +26,8 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--master", help="Spark master, if not given by spark-submit")
     jobs = args.add_subparsers(dest="job", required=True)
 
-    jobs.add_parser("all", help="load, rebuild and connect everything")
+    everything = jobs.add_parser("all", help="load, rebuild and connect everything")
+    everything.add_argument("--lookback-days", type=float, default=0)
     jobs.add_parser("init-marks", help="set all marks to the start")
     mark = jobs.add_parser("set-mark", help="set the mark of one table")
     mark.add_argument("table")
@@ -46,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
     export = jobs.add_parser("export", help="replace the star tables in a JDBC database")
     export.add_argument("url")
     export.add_argument("--driver", default=JdbcTarget.driver)
+    export.add_argument("--connections", type=int, default=JdbcTarget.connections)
     return args
 
 
@@ -59,7 +61,7 @@ def run(options: argparse.Namespace, house: Warehouse) -> object:
         return house.rebuild_silver(options.table)
 
     jobs = {
-        "all": house.run_all,
+        "all": lambda: house.run_all(timedelta(days=options.lookback_days)),
         "init-marks": house.init_control,
         "set-mark": lambda: set_mark(house.spark, house.control_path, options.table, options.ts),
         "silver": silver,
@@ -68,7 +70,7 @@ def run(options: argparse.Namespace, house: Warehouse) -> object:
         "quality": lambda: house.report_quality().show(100, truncate=False),
         "mock": lambda: house.write_mock_orders(options.rows, options.seed),
         "revenue": lambda: house.report_monthly_revenue(options.path).show(),
-        "export": lambda: house.export_star(JdbcTarget(options.url, options.driver)),
+        "export": lambda: house.export_star(JdbcTarget(options.url, options.driver, options.connections)),
     }
     return jobs[options.job]()
 

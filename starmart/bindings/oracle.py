@@ -55,9 +55,11 @@ _SENTIMENT = (
     "else 'negative' end"
 )
 
-SILVER = {
-    "orders": f"""
-        select distinct order_id, customer_id, order_status, purchase_ts, approved_ts,
+
+
+def _orders(mark: str) -> str:
+    return f"""
+        select order_id, customer_id, order_status, purchase_ts, approved_ts,
             delivered_carrier_ts, delivered_customer_ts, estimated_delivery_ts,
             cast(year(purchase_ts) as int) as year, cast(month(purchase_ts) as int) as month,
             cast(quarter(purchase_ts) as int) as quarter, cast(day(purchase_ts) as int) as day,
@@ -70,25 +72,30 @@ SILVER = {
                 try_cast(order_delivered_carrier_date as timestamp) as delivered_carrier_ts,
                 try_cast(order_delivered_customer_date as timestamp) as delivered_customer_ts,
                 try_cast(order_estimated_delivery_date as timestamp) as estimated_delivery_ts
-            from {_raw('orders')}
+            from (select distinct * from {_raw('orders')})
             where order_id is not null and customer_id is not null and order_status is not null
         )
-        where purchase_ts > {ORDERS_MARK}
+        where purchase_ts > {mark}
             and (delivered_customer_ts is null
-                or date_diff('day', purchase_ts, delivered_customer_ts) >= 0)""",
+                or date_diff('day', purchase_ts, delivered_customer_ts) >= 0)"""
+
+
+SILVER = {
+    "orders": _orders(START),
     "order_items": f"""
         select order_id, order_item_id, product_id, seller_id,
             try_cast(shipping_limit_date as timestamp) as shipping_limit_ts, price, freight_value,
             {_TOTAL} as total_item_value, round(freight_value / price, 4) as shipping_ratio
         from (select distinct * from {_raw('order_items')})
-        where price > 0 and freight_value >= 0""",
+        where order_id is not null and product_id is not null and seller_id is not null
+            and price > 0 and freight_value >= 0""",
     "payments": f"""
         select order_id, payment_sequential, lower(trim(payment_type)) as payment_type,
             payment_installments, payment_value,
             case when payment_installments > 1 then 1 else 0 end as is_installment,
             {_bucket('payment_value')} as payment_bucket
         from (select distinct * from {_raw('payments')})
-        where payment_value > 0""",
+        where order_id is not null and payment_value > 0""",
     "reviews": f"""
         select review_id, order_id, review_score,
             try_cast(review_creation_date as timestamp) as review_creation_ts,
@@ -97,21 +104,24 @@ SILVER = {
             case when length(trim(coalesce(review_comment_message, ''))) > 0 then 1 else 0 end
                 as has_comment
         from (select distinct * from {_raw('reviews')})
-        where review_score between 1 and 5""",
+        where review_id is not null and order_id is not null and review_score between 1 and 5""",
     "customers": f"""
         select customer_id, customer_unique_id, customer_zip_code_prefix,
             lower(trim(customer_city)) as customer_city, upper(trim(customer_state)) as customer_state
-        from (select distinct * from {_raw('customers')})""",
+        from (select distinct * from {_raw('customers')})
+        where customer_id is not null and customer_unique_id is not null""",
     "sellers": f"""
         select seller_id, seller_zip_code_prefix, lower(trim(seller_city)) as seller_city,
             upper(trim(seller_state)) as seller_state
-        from (select distinct * from {_raw('sellers')})""",
+        from (select distinct * from {_raw('sellers')})
+        where seller_id is not null""",
     "products": f"""
         select product_id, lower(trim(product_category_name)) as product_category_name,
             product_name_lenght, product_description_lenght, product_photos_qty, product_weight_g,
             {_kg('product_weight_g')} as weight_kg, product_length_cm, product_height_cm,
             product_width_cm, {_VOLUME} as product_volume_cm3
-        from (select distinct * from {_raw('products')})""",
+        from (select distinct * from {_raw('products')})
+        where product_id is not null""",
     "geolocation": f"""
         select zip as geolocation_zip_code_prefix, city as geolocation_city,
             state as geolocation_state, avg(geolocation_lat) as avg_lat,
@@ -120,12 +130,15 @@ SILVER = {
             select geolocation_zip_code_prefix as zip, lower(trim(geolocation_city)) as city,
                 upper(trim(geolocation_state)) as state, geolocation_lat, geolocation_lng
             from {_raw('geolocation')}
+            where geolocation_zip_code_prefix is not null and geolocation_lat is not null
+                and geolocation_lng is not null
         )
         group by zip, city, state""",
     "category_translation": f"""
         select lower(trim(product_category_name)) as product_category_name,
             lower(trim(product_category_name_english)) as product_category_name_english
-        from (select distinct * from {_raw('category_translation')})""",
+        from (select distinct * from {_raw('category_translation')})
+        where product_category_name is not null and product_category_name_english is not null""",
 }
 
 
@@ -134,7 +147,9 @@ def _silver(name: str) -> str:
 
 
 def _key(order_by: str) -> str:
-    return f"row_number() over (order by {order_by}) - 1"
+    """Keys count buckets of the digest of the business key first, then the business key."""
+    text = f"coalesce(cast({order_by} as varchar), '')"
+    return f"row_number() over (order by md5({text})[1:2], {order_by}) - 1"
 
 
 _DIM_CUSTOMER = f"""
@@ -190,13 +205,14 @@ _FACT = f"""
         left join dim_s on i.seller_id = dim_s.seller_id
         left join dim_d on cast(o.purchase_ts as date) = dim_d.full_date"""
 
+_SIGN = "(case when l_returnflag = 'A' then -1 else 1 end)"
 _LINES = (
-    "select l_orderkey as order_id, l_linenumber as order_item_id, l_partkey as product_id, "
-    "l_suppkey as seller_id, l_extendedprice as price from lineitem"
+    f"select l_orderkey * {_SIGN} as order_id, l_linenumber as order_item_id, "
+    f"l_partkey * {_SIGN} as product_id, l_suppkey * {_SIGN} as seller_id, "
+    "l_extendedprice as price from lineitem"
 )
-_NEW_ORDERS = (
-    "select o_orderkey as order_id, o_custkey as customer_id, o_orderdate as purchase_ts "
-    f"from orders where o_orderdate > {ORDERS_MARK}"
+_ALL_ORDERS = (
+    "select o_orderkey as order_id, o_custkey as customer_id, o_orderdate as purchase_ts from orders"
 )
 _ORDERS_WITH_NULLS = (
     "select o_orderkey, nullif(o_orderstatus, 'P') as status, "
@@ -276,7 +292,7 @@ ORACLE = {
     "sink_csv_report": _MONTHLY,
     "obs_row_counts": (
         f"select 'orders_before' as step, count(*) as rows from ({_ORDER_BATCH}) "
-        f"union all select 'orders_after', count(*) from {_silver('orders')}"
+        f"union all select 'orders_after', count(*) from ({_orders(ORDERS_MARK)})"
     ),
     "top_n_preview": "select * from orders order by o_orderkey limit 5",
     "clean_exact_distinct": (
@@ -337,8 +353,8 @@ ORACLE = {
         "from lineitem"
     ),
     "feat_threshold_flag": (
-        "select l_orderkey as order_id, l_linenumber as payment_sequential, "
-        "case when l_quantity > 1 then 1 else 0 end as is_installment from lineitem"
+        "select order_id, payment_sequential, "
+        f"case when payment_installments > 1 then 1 else 0 end as is_installment from {_raw('payments')}"
     ),
     "feat_value_bucket": (
         f"select order_id, payment_sequential, {_bucket('payment_value')} as payment_bucket "
@@ -356,8 +372,7 @@ ORACLE = {
         f"select product_id, {_size(_VOLUME)} as product_size_category from {_raw('products')}"
     ),
     "feat_sentiment": (
-        f"select review_id, {_SENTIMENT} as sentiment from {_raw('reviews')} "
-        "where review_score between 1 and 5"
+        f"select review_id, {_SENTIMENT} as sentiment from {_raw('reviews')}"
     ),
     "feat_region": (
         f"select customer_id, {_region('upper(trim(customer_state))')} as customer_region "
@@ -389,37 +404,38 @@ ORACLE = {
         f"from {_silver('products')} left join {_silver('category_translation')} "
         "using (product_category_name)"
     ),
-    "join_items_orders": f"select * from ({_LINES}) left join ({_NEW_ORDERS}) using (order_id)",
+    "join_items_orders": f"select * from ({_LINES}) left join ({_ALL_ORDERS}) using (order_id)",
     "join_payments": (
         f"select * from ({_LINES}) left join (select l_orderkey as order_id, "
-        f"{_money('l_extendedprice')} as payment_value from lineitem where l_returnflag = 'R' "
-        "group by 1) using (order_id)"
+        f"{_money('l_extendedprice')} as payment_value from lineitem group by 1) using (order_id)"
     ),
     "join_reviews": (
         f"select * from ({_LINES}) left join (select order_id, avg(review_score) as review_score "
         f"from {_raw('reviews')} group by order_id) using (order_id)"
     ),
     "join_dim_customer": (
-        "select o_orderkey as order_id, o_custkey as customer_id, customer_key from orders left join "
-        f"(select c_custkey, {_key('c_custkey')} as customer_key from customer where c_acctbal > 0) "
-        "on o_custkey = c_custkey"
+        "select order_id, customer_id, customer_key from (select o_orderkey as order_id, o_custkey * "
+        "(case when o_orderstatus = 'P' then -1 else 1 end) as customer_id from orders) left join "
+        f"(select c_custkey as customer_id, {_key('c_custkey')} as customer_key from customer) "
+        "using (customer_id)"
     ),
     "join_dim_product": (
         f"select * from ({_LINES}) left join (select p_partkey as product_id, "
-        f"{_key('p_partkey')} as product_key from part where p_type <> 'SMALL') using (product_id)"
+        f"{_key('p_partkey')} as product_key from part) using (product_id)"
     ),
     "join_dim_seller": (
         f"select * from ({_LINES}) left join (select s_suppkey as seller_id, "
-        f"{_key('s_suppkey')} as seller_key from supplier where s_acctbal > 0) using (seller_id)"
+        f"{_key('s_suppkey')} as seller_key from supplier) using (seller_id)"
     ),
     "join_dim_date": (
-        "select o_orderkey as order_id, cast(o_orderdate as date) as full_date, date_key from orders "
-        f"left join ({_dim_date(f'({_NEW_ORDERS})')}) on cast(o_orderdate as date) = full_date"
+        "select order_id, full_date, date_key from (select o_orderkey as order_id, "
+        "case when o_orderstatus <> 'P' then cast(o_orderdate as date) end as full_date from orders) "
+        f"left join ({_dim_date(f'({_ALL_ORDERS})')}) using (full_date)"
     ),
     "inc_hwm_filter": f"select * from orders where o_orderdate > {ORDERS_MARK}",
     "inc_new_hwm": _loaded(
         f"(select max(purchase_ts) from ({_ORDER_BATCH}) where purchase_ts > {ORDERS_MARK})",
-        f"(select count(*) from {_silver('orders')})",
+        f"(select count(*) from ({_orders(ORDERS_MARK)}))",
     ),
     "inc_empty_batch": _loaded(
         FUTURE, f"(select count(*) from ({_ORDER_BATCH}) where purchase_ts > {FUTURE})"
@@ -450,7 +466,7 @@ ORACLE = {
         f"select '{name}' as table_name, * from ({_report(name, spec)})"
         for name, spec in SPECS.items()
     ),
-    "silver_orders": SILVER["orders"],
+    "silver_orders": _orders(ORDERS_MARK),
     "silver_order_items": SILVER["order_items"],
     "silver_payments": SILVER["payments"],
     "silver_reviews": SILVER["reviews"],

@@ -8,7 +8,7 @@ repeated rows and values out of range are derived here from the data.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,8 @@ class RawTable:
     source: str
     columns: dict[str, str]
     loaded_twice: str | None = None  # rows that the raw table holds as exact copies
-    kept: str | None = None
+    # Rows that the raw table holds again with other text in some columns.
+    held_again: tuple[str, dict[str, str]] | None = None
 
 
 _STATE = (
@@ -60,6 +61,7 @@ RAW = {
             "order_estimated_delivery_date": "cast(cast(o_orderdate as date) + 60 as string)",
         },
         loaded_twice="o_orderpriority = '1-URGENT'",
+        held_again=("o_orderpriority = '1-URGENT'", {"order_approved_at": "'unknown'"}),
     ),
     "order_items": RawTable(
         "lineitem",
@@ -67,35 +69,53 @@ RAW = {
             "order_id": "l_orderkey",
             "order_item_id": "l_linenumber",
             "product_id": "l_partkey",
-            "seller_id": "l_suppkey",
-            "shipping_limit_date": "l_shipdate",
-            "price": "l_extendedprice",
-            "freight_value": cents("l_extendedprice * l_tax"),
+            "seller_id": "nullif(l_suppkey, 3)",
+            "shipping_limit_date": (
+                "case when l_returnflag = 'R' then 'n/a' else cast(l_shipdate as string) end"
+            ),
+            "price": (
+                "case when l_linenumber = 7 then cast(0 as double) "
+                "when l_quantity = 50 then -l_extendedprice else l_extendedprice end"
+            ),
+            "freight_value": (
+                "case when l_quantity = 49 then cast(-1 as double) "
+                f"else {cents('l_extendedprice * l_tax')} end"
+            ),
         },
+        loaded_twice="l_returnflag = 'A'",
+        held_again=("l_returnflag = 'R'", {"shipping_limit_date": "'unknown'"}),
     ),
     "payments": RawTable(
         "lineitem",
         {
-            "order_id": "l_orderkey",
+            "order_id": "nullif(l_orderkey, 7)",
             "payment_sequential": "l_linenumber",
             "payment_type": "concat(' ', l_returnflag, '  ')",
             "payment_installments": "cast(l_quantity as int)",
-            "payment_value": cents("l_extendedprice / 100"),
+            "payment_value": (
+                "case when l_linenumber = 7 then cast(0 as double) "
+                f"else {cents('l_extendedprice / 100')} end"
+            ),
         },
+        loaded_twice="l_returnflag = 'N'",
     ),
     "reviews": RawTable(
         "events",
         {
-            "review_id": "event_id",
-            "order_id": "user_id",
+            "review_id": "nullif(event_id, 11)",
+            "order_id": "event_id",
             "review_score": "cast(floor(value / 20) as int)",
             "review_comment_title": "event_type",
             "review_comment_message": (
                 "case event_type when 'error' then null when 'view' then '   ' else props end"
             ),
             "review_creation_date": "cast(ts as string)",
-            "review_answer_timestamp": "cast(cast(ts as date) + 2 as string)",
+            "review_answer_timestamp": (
+                "case when event_type = 'view' then 'n/a' else cast(cast(ts as date) + 2 as string) end"
+            ),
         },
+        loaded_twice="event_type = 'click'",
+        held_again=("event_type = 'view'", {"review_answer_timestamp": "'unknown'"}),
     ),
     "customers": RawTable(
         "customer",
@@ -111,17 +131,20 @@ RAW = {
     "sellers": RawTable(
         "supplier",
         {
-            "seller_id": "s_suppkey",
+            "seller_id": "nullif(s_suppkey, 5)",
             "seller_zip_code_prefix": "concat('0', cast(s_nationkey as string))",
             "seller_city": "concat('  ', s_name, ' ')",
             "seller_state": _STATE.format("s_nationkey"),
         },
+        loaded_twice="s_acctbal < 0",
     ),
     "products": RawTable(
         "part",
         {
-            "product_id": "p_partkey",
-            "product_category_name": "concat('  ', p_type, ' ')",
+            "product_id": "nullif(p_partkey, 9)",
+            "product_category_name": (
+                "concat('  ', p_type, case when p_brand = 'Brand#2' then ' other ' else ' ' end)"
+            ),
             "product_name_lenght": "cast(length(p_name) as int)",
             "product_description_lenght": "p_size",
             "product_photos_qty": "nullif(p_size, 50)",
@@ -130,13 +153,15 @@ RAW = {
             "product_height_cm": "cast(nullif(p_size, 49) as double)",
             "product_width_cm": "cast(p_size as double)",
         },
+        loaded_twice="p_size = 1",
     ),
     "geolocation": RawTable(
         "customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey",
         {
             "geolocation_zip_code_prefix": "concat('0', cast(c_nationkey as string))",
-            "geolocation_lat": "cast(floor(c_acctbal) as double)",
-            "geolocation_lng": "cast(c_custkey as double)",
+            # Quarters, so that the sums below the means are exact in any order.
+            "geolocation_lat": "cast(floor(c_acctbal * 4) as double) / 4",
+            "geolocation_lng": "cast(nullif(c_custkey, 13) as double) / 4",
             "geolocation_city": "concat(' ', n_name, c_mktsegment, '  ')",
             "geolocation_state": "case when r_name = 'AFRICA' then null else lower(r_name) end",
         },
@@ -147,7 +172,6 @@ RAW = {
             "product_category_name": "concat(p_type, '  ')",
             "product_category_name_english": "concat(' Type ', p_type)",
         },
-        kept="p_type <> 'SMALL'",
     ),
 }
 
@@ -174,23 +198,34 @@ def _source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     )
 
 
+def _selects(spec: RawTable) -> list[tuple[list[str], str | None]]:
+    """The parts of a raw table: its select list and the condition of its rows."""
+
+    def listed(columns: dict[str, str]) -> list[str]:
+        return [f"{expression} as {column}" for column, expression in columns.items()]
+
+    parts: list[tuple[list[str], str | None]] = [(listed(spec.columns), None)]
+    if spec.loaded_twice:
+        parts.append((listed(spec.columns), spec.loaded_twice))
+    if spec.held_again:
+        where, other = spec.held_again
+        parts.append((listed(spec.columns | other), where))
+    return parts
+
+
 def raw_frame(spark: SparkSession, folder: str, name: str) -> DataFrame:
     spec = RAW[name]
     source = _source(spark, folder, spec.source)
-    if spec.kept:
-        source = source.where(spec.kept)
-    select = [f"{expression} as {column}" for column, expression in spec.columns.items()]
-    rows = source.selectExpr(*select)
-    if spec.loaded_twice:
-        rows = rows.unionAll(source.where(spec.loaded_twice).selectExpr(*select))
-    return rows
+    parts = [
+        (source.where(where) if where else source).selectExpr(*select)
+        for select, where in _selects(spec)
+    ]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def raw_sql(name: str) -> str:
     spec = RAW[name]
-    select = ", ".join(f"{expression} as {column}" for column, expression in spec.columns.items())
-    where = f" where {spec.kept}" if spec.kept else ""
-    sql = f"select {select} from {spec.source}{where}"
-    if spec.loaded_twice:
-        sql += f" union all select {select} from {spec.source} where {spec.loaded_twice}"
-    return sql
+    return " union all ".join(
+        f"select {', '.join(select)} from {spec.source}" + (f" where {where}" if where else "")
+        for select, where in _selects(spec)
+    )

@@ -15,9 +15,6 @@ REGION_STATES = {
 }
 REGION_REST = "Other"
 
-# Largest amount whose cents are still exact in a double.
-_EXACT_AMOUNT = 9.0e13
-
 
 def is_late(delivered: str, estimated: str) -> Column:
     """1 if delivered after the estimate; 0 also while undelivered."""
@@ -57,6 +54,7 @@ def banded(name: str, bands: tuple[list[tuple[float, str]], str]) -> Column:
 
 
 def sentiment(score: str) -> Column:
+    """The three labels. Scores outside 1 to 5 and nulls take the last one."""
     value = F.col(score)
     return F.when(value >= 4, "positive").when(value == 3, "neutral").otherwise("negative")
 
@@ -74,13 +72,9 @@ def region(
 
 
 def money_sum(name: str) -> Column:
-    """Sum of a double column, exact to the cent and so the same for every partitioning.
+    """Sum of a double column in decimal arithmetic, the same for every partitioning.
 
-    The sum runs over whole cents in long arithmetic. Where a group holds anything that
-    is not a whole number of cents (more decimals, NaN, huge amounts), it is the plain sum.
+    Each amount is rounded to six decimals, and their sum is exact. Amounts of 10^22 and more, and those that are not
+    finite, are no money and count as missing.
     """
-    amount = F.col(name).cast("double")
-    cents = F.when(F.abs(amount) < _EXACT_AMOUNT, F.rint(amount * 100).cast("long"))
-    whole = amount.isNull() | F.coalesce(cents / F.lit(100.0) == amount, F.lit(False))
-    exact = F.when(F.bool_and(whole), F.try_sum(cents) / F.lit(100.0))
-    return F.coalesce(exact, F.sum(amount))
+    return F.sum(F.col(name).cast("double").try_cast("decimal(28,6)")).cast("double")

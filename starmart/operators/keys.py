@@ -1,45 +1,66 @@
-"""Dense surrogate keys."""
+"""Surrogate keys: dense numbers that a business key keeps once it has one."""
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import scratch_path
-from starmart.sources.readers import read_parquet
-from starmart.sources.writers import overwrite_parquet
+DIGITS = 2
 
-_ROW_BITS = 33
-_ROW_MASK = (1 << _ROW_BITS) - 1
 
+def _bucket(business: list[str]) -> Column:
+    """The first digits of a digest of the business key: 256 even buckets that no sample decides."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in business])
+    return F.substring(F.md5(text.cast("binary")), 1, DIGITS)
 
-def dense_key(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """Number the rows 0, 1, 2 … in the order of ``order_by`` without a one-task window.
 
-    Rows are range-partitioned and sorted, then numbered inside each partition. What comes to
-    the driver is one row count per partition, so as many numbers as the shuffle has
-    partitions; their running total, a constant in the plan, gives each partition its
-    first key. The other columns and a random number follow in the sort order: a business key
-    that repeats, or many equal rows, still spread over partitions (equal rows are
-    interchangeable, so results do not change).
+def numbered(df: DataFrame, key: str, business: list[str], first: int = 0) -> DataFrame:
+    """Number the rows ``first``, ``first`` + 1, ... by bucket, then business key, then the other columns.
 
-    The numbered rows are kept in a table in the shared folder before they are counted: the
-    range bounds come from a sample, and a recomputed partition could otherwise hold other rows.
+    A plan and nothing else: buckets are numbered side by side, and one row count per bucket says
+    where each begins. The result depends on the rows alone, so a task that runs again
+    gives the same keys; equal rows are interchangeable.
     """
-    spark = df.sparkSession
-    rest = [name for name in df.columns if name not in order_by]
-    path = scratch_path(spark, key)
-    numbered = df.orderBy(*order_by, *rest, F.rand(7)).withColumn(
-        "_position", F.monotonically_increasing_id()
+    names = df.columns
+    rest = [name for name in names if name not in business]
+    placed = df.withColumn("_bucket", _bucket(business))
+    counts = placed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy("_bucket").orderBy(*business, *rest))
+    number = (F.col("_start") + F.col("_place") - 1 + F.lit(first)).cast("long")
+    return (
+        placed.withColumn("_place", nth).join(F.broadcast(starts), "_bucket").select(number.alias(key), *names)
     )
-    overwrite_parquet(numbered, path)
-
-    placed = read_parquet(spark, path, numbered.schema)
-    part = F.shiftright("_position", _ROW_BITS).cast("int")
-    rows = dict(placed.groupBy(part.alias("part")).count().collect())
-    first = accumulate((rows.get(i, 0) for i in range(max(rows, default=0))), initial=0)
-    starts = F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>")
-    number = starts[part] + F.col("_position").bitwiseAND(F.lit(_ROW_MASK))
-    return placed.select(number.alias(key), *df.columns)
+
+
+def _occurrence(df: DataFrame, business: list[str]) -> DataFrame:
+    """Rows that share a business key are told apart by their place among them."""
+    rest = [name for name in df.columns if name not in business]
+    order = [*business, *rest]
+    return df.withColumn("_nth", F.row_number().over(Window.partitionBy(*business).orderBy(*order)))
+
+
+def _same(business: list[str]) -> Column:
+    met = F.col("new._nth") == F.col("old._nth")
+    for name in business:
+        met = met & F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}"))
+    return met
+
+
+def occurrences(df: DataFrame, business: list[str]) -> DataFrame:
+    return _occurrence(df, business).select(*business, "_nth")
+
+
+def new_keys(df: DataFrame, key: str, business: list[str], known: DataFrame, highest: int | None) -> DataFrame:
+    """Key rows (key, business key, _nth) for the business keys that ``known`` does not have, from ``highest`` + 1 on."""
+    mine = occurrences(df, business).alias("new")
+    fresh = mine.join(known.alias("old"), _same(business), "left_anti")
+    return numbered(fresh, key, [*business, "_nth"], 0 if highest is None else highest + 1)
+
+
+def with_keys(df: DataFrame, key: str, business: list[str], known: DataFrame) -> DataFrame:
+    """The rows with the keys that ``known`` has for them."""
+    names = df.columns
+    met = _occurrence(df, business).alias("new").join(known.alias("old"), _same(business))
+    return met.select(F.col(f"old.{key}").alias(key), *[F.col(f"new.{name}").alias(name) for name in names])

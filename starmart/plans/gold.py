@@ -7,30 +7,44 @@ from pyspark.sql import functions as F
 
 from starmart.functions import dates, measures
 from starmart.operators import joins
-from starmart.operators.keys import dense_key
+from starmart.operators.keys import numbered
 
 
-def dim_customer(customers: DataFrame, region: Column | None = None) -> DataFrame:
+# Columns of the star, here and in the selects below. Key and business key of the keyed tables.
+KEYS = {
+    "dim_customer": ("customer_key", ["customer_id"]),
+    "dim_product": ("product_key", ["product_id"]),
+    "dim_seller": ("seller_key", ["seller_id"]),
+}
+
+
+def customer_rows(customers: DataFrame, region: Column | None = None) -> DataFrame:
     named = measures.region("customer_state") if region is None else region
-    rows = customers.select(
+    return customers.select(
         "customer_id",
         "customer_unique_id",
         "customer_city",
         "customer_state",
         named.alias("customer_region"),
     )
-    return dense_key(rows, "customer_key", ["customer_id"])
 
 
-def dim_seller(sellers: DataFrame, region: Column | None = None) -> DataFrame:
+def dim_customer(customers: DataFrame, region: Column | None = None) -> DataFrame:
+    return numbered(customer_rows(customers, region), *KEYS["dim_customer"])
+
+
+def seller_rows(sellers: DataFrame, region: Column | None = None) -> DataFrame:
     named = measures.region("seller_state") if region is None else region
-    rows = sellers.select("seller_id", "seller_city", "seller_state", named.alias("seller_region"))
-    return dense_key(rows, "seller_key", ["seller_id"])
+    return sellers.select("seller_id", "seller_city", "seller_state", named.alias("seller_region"))
 
 
-def dim_product(products: DataFrame, category: DataFrame) -> DataFrame:
+def dim_seller(sellers: DataFrame, region: Column | None = None) -> DataFrame:
+    return numbered(seller_rows(sellers, region), *KEYS["dim_seller"])
+
+
+def product_rows(products: DataFrame, category: DataFrame) -> DataFrame:
     """A category with two translations gives two rows per product."""
-    rows = joins.left_join(products, category, "product_category_name").select(
+    return joins.left_join(products, category, "product_category_name").select(
         "product_id",
         "product_category_name",
         "product_category_name_english",
@@ -42,7 +56,10 @@ def dim_product(products: DataFrame, category: DataFrame) -> DataFrame:
         "product_volume_cm3",
         measures.banded("product_volume_cm3", measures.SIZE_BANDS).alias("product_size_category"),
     )
-    return dense_key(rows, "product_key", ["product_id"])
+
+
+def dim_product(products: DataFrame, category: DataFrame) -> DataFrame:
+    return numbered(product_rows(products, category), *KEYS["dim_product"])
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
@@ -98,8 +115,7 @@ def order_level(
 
     The outer join is full because an order line also gets its payments and reviews where the
     order itself is missing. Customer and date keys are looked up here, where there are
-    fewer and narrower rows than order lines. There is one dim_date row per calendar day, so
-    that table is always small enough to broadcast.
+    fewer and narrower rows than order lines. Spark broadcasts them where its size checks allow.
     """
     placed = orders.select(
         "order_id",
@@ -109,7 +125,7 @@ def order_level(
         "is_late",
     )
     placed = joins.left_join(placed, dim_customer.select("customer_id", "customer_key"), "customer_id")
-    days = F.broadcast(dim_date.select("full_date", "date_key"))
+    days = dim_date.select("full_date", "date_key")
     placed = joins.left_join(placed, days, "full_date").drop("customer_id", "full_date")
     return placed.join(order_measures(payments, reviews), "order_id", "full")
 

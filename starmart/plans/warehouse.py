@@ -8,7 +8,8 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.operators.aggregates import monthly_revenue
+from starmart.operators import keys
+from starmart.operators.aggregates import latest, monthly_revenue
 from starmart.operators.quality import SPECS, quality_report_all
 from starmart.operators.synth import mock_orders
 from starmart.plans import gold, silver
@@ -105,7 +106,7 @@ class Warehouse:
             silver.review_candidates(self.read_raw("reviews")),
             silver.finish_reviews,
             table="reviews",
-            key="review_id",
+            key=("review_id", "order_id"),
             ts="review_creation_ts",
             control_path=self.control_path,
             target_path=self.silver_path("reviews"),
@@ -115,19 +116,33 @@ class Warehouse:
     def rebuild_silver(self, table: str) -> int:
         rows, taken = writers.observed(REBUILT[table](self.read_raw(table)), f"silver_{table}")
         writers.overwrite_parquet(rows, self.silver_path(table))
-        return taken.get["rows"]
+        return writers.logged(table, rows, taken.get["rows"])
 
     # Star schema
 
+    def key_path(self, table: str) -> str:
+        return f"{self.root}/metadata/keys/{table}"
+
+    def _keyed(self, rows: DataFrame, table: str) -> DataFrame:
+        """The rows with their surrogate keys. Keys once given stay; new business keys are numbered behind the highest."""
+        key, business = gold.KEYS[table]
+        path, shape = self.key_path(table), keys.numbered(keys.occurrences(rows, business), key, business)
+        writers.create_if_missing(shape, path)
+        known = readers.read_parquet(self.spark, path, shape.schema)
+        highest = latest(known, key, "highest").first()[0]
+        writers.append_parquet(keys.new_keys(rows, key, business, known, highest), path)
+        return keys.with_keys(rows, key, business, readers.read_parquet(self.spark, path, shape.schema))
+
     def build_dimension(self, table: str) -> int:
         if table == "dim_customer":
-            df = gold.dim_customer(self.read_silver("customers"))
+            df = self._keyed(gold.customer_rows(self.read_silver("customers")), table)
         elif table == "dim_product":
-            df = gold.dim_product(
+            rows = gold.product_rows(
                 self.read_silver("products"), self.read_silver("category_translation")
             )
+            df = self._keyed(rows, table)
         elif table == "dim_seller":
-            df = gold.dim_seller(self.read_silver("sellers"))
+            df = self._keyed(gold.seller_rows(self.read_silver("sellers")), table)
         elif table == "dim_date":
             df = gold.dim_date(self.read_silver("orders"))
         elif table == "dim_location":
@@ -149,7 +164,7 @@ class Warehouse:
     def _write_gold(self, df: DataFrame, table: str) -> int:
         rows, taken = writers.observed(df, table)
         writers.overwrite_parquet(rows, self.gold_path(table))
-        return taken.get["rows"]
+        return writers.logged(table, df, taken.get["rows"])
 
     # Reports and exports
 
@@ -170,18 +185,17 @@ class Warehouse:
 
     def report_monthly_revenue(self, path: str, table: str = "orders_mock") -> DataFrame:
         report = monthly_revenue(self.read_gold(table))
-        writers.write_csv_report(report, path, ["year", "month"])
+        writers.write_csv_report(report, path)
         return report
 
     # Everything in order
 
-    def run_all(self) -> dict[str, int]:
-        """Load new rows and rebuild the rest. Dimensions and fact are rebuilt together,
-        because dense keys shift when a dimension gains rows."""
+    def run_all(self, lookback: timedelta = timedelta(0)) -> dict[str, int]:
+        """Load new rows and rebuild the rest. ``lookback`` reads orders and reviews again from before their marks."""
         self.init_control(keep=True)
         loaded = run_together(
-            lambda: self.load_orders().rows,
-            lambda: self.load_reviews().rows,
+            lambda: self.load_orders(lookback).rows,
+            lambda: self.load_reviews(lookback).rows,
             *[partial(self.rebuild_silver, table) for table in REBUILT],
         )
         keyed = run_together(*[partial(self.build_dimension, table) for table in STAR[:-1]])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+LOG = logging.getLogger("starmart")
+
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -36,25 +39,23 @@ def append_partitioned(df: DataFrame, path: str, *names: str) -> None:
     df.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(path)
 
 
-def write_csv_report(df: DataFrame, path: str, order_by: list[str]) -> None:
-    """One CSV file with header, in order. For grouped results of report size only.
+def write_csv_report(df: DataFrame, path: str) -> None:
+    """CSV with header, in the order of the sorted ``df``: files follow each other by name.
 
-    The repartition, unlike a coalesce, leaves the grouping before it spread over tasks.
+    A report of a few megabytes is one file, as Spark merges small partitions after the sort; a
+    larger one is several, and no task gets them all.
     """
-    (
-        df.repartition(1)
-        .sortWithinPartitions(*order_by)
-        .write.mode("overwrite")
-        .option("header", True)
-        .csv(path)
-    )
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+def write_csv(df: DataFrame, path: str, bytes_per_file: int = 128 << 20) -> None:
     """CSV of any size with every field quoted, so that line breaks and quotes survive.
 
-    Files are kept small because a multi-line file is read back by one task.
+    A multi-line file is read back by one task, so files are bounded: the mean size of a row, from a pass
+    over the columns, says how many rows make ``bytes_per_file``.
     """
+    mean = df.agg(F.avg(F.octet_length(F.to_csv(F.struct("*"))) + 2 * len(df.columns))).first()[0]
+    rows_per_file = max(1, int(bytes_per_file / mean)) if mean else 1
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -74,9 +75,18 @@ def observed(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, Obs
     return df.observe(taken, F.count(F.lit(1)).alias("rows"), *metrics), taken
 
 
+def logged(name: str, df: DataFrame, rows: int) -> int:
+    """Log a table's rows and schema once it is written; the rows."""
+    LOG.info("%s: %d rows\n%s", name, rows, df.schema.treeString())
+    return rows
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
-    """Where the star goes. User and password come from the environment, never from code."""
+    """Where the star goes. User and password come from the environment, never from code.
+
+    Spark merges the partitions of a larger table to ``connections`` tasks, which is how many write at once.
+    """
 
     url: str
     driver: str = "org.postgresql.Driver"

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from starmart.operators.aggregates import latest
 from starmart.operators.cleaning import drop_exact_copies
+from starmart.session import scratch_path
 from starmart.sources.readers import read_parquet
 from starmart.sources.writers import (
     append_parquet,
     append_partitioned,
     create_if_missing,
     observed,
+    overwrite_parquet,
 )
 from starmart.streaming.marks import after_mark, get_mark, set_mark, wall_clock
 
@@ -34,28 +36,31 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
-def loaded_after(target: DataFrame, ts: str, since: datetime, by_month: bool) -> DataFrame:
-    """Target rows after a time. Month directories and file statistics skip all older data."""
+def loaded_after(
+    target: DataFrame, ts: str, since: datetime, partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Target rows after a time. Directories by (year, month) and file statistics skip all older data."""
     rows = after_mark(target, ts, since)
-    if by_month:
+    if partition_by[:2] == ("year", "month"):
         first = since - timedelta(days=1)
         rows = rows.filter(F.col("year") * 12 + F.col("month") >= first.year * 12 + first.month)
     return rows
 
 
 def without_loaded(
-    batch: DataFrame, loaded: DataFrame, key: str, ts: str, mark: datetime
+    rows: DataFrame, loaded: DataFrame, key: str | tuple[str, ...], ts: str, mark: datetime
 ) -> DataFrame:
     """Leave out rows that an interrupted run or the lookback window has loaded before.
 
     After the mark these are equal rows, as a key may rightly occur twice in one
     load. Up to the mark it is every row whose key is known.
     """
-    shared = [c for c in batch.columns if c in loaded.columns]
-    new, old = batch.alias("new"), loaded.select(*shared).alias("old")
-    equal = reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in shared])
+    keys = (key,) if isinstance(key, str) else key
+    new, old = rows.alias("new"), loaded.select(*rows.columns).alias("old")
+    same = [F.col(f"new.{k}") == F.col(f"old.{k}") for k in keys]
+    equal = reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in rows.columns])
     late = F.col(f"new.{ts}") <= F.lit(mark.isoformat(sep=" ")).cast("timestamp")
-    return new.join(old, (F.col(f"new.{key}") == F.col(f"old.{key}")) & (late | equal), "left_anti")
+    return new.join(old, reduce(and_, same) & (late | equal), "left_anti")
 
 
 def load_increment(
@@ -64,7 +69,7 @@ def load_increment(
     finish: Callable[[DataFrame], DataFrame],
     *,
     table: str,
-    key: str,
+    key: str | tuple[str, ...],
     ts: str,
     control_path: str,
     target_path: str,
@@ -73,11 +78,13 @@ def load_increment(
 ) -> LoadResult:
     """Load what is newer than the mark of ``table``.
 
-    ``candidates`` are cleaned rows with a parsed ``ts``; ``finish`` adds the features.
+    ``candidates`` are raw rows with a parsed ``ts`` beside their text, of which exact copies are dropped
+    here; ``finish`` makes them rows of the target. ``key`` is what identifies a row of the target.
     No rows are written when none are new. The data is written before the mark, and a
     second run after a crash in between adds no row twice. The new mark is the
     latest ``ts`` of the batch, also over rows that ``finish`` drops, and it never moves back.
-    ``lookback`` reads again from before the mark, for rows that arrive late.
+    ``lookback`` reads again from before the mark, for rows that arrive late. Month directories help to find
+    what is loaded if ``partition_by`` begins with year and month.
     """
     mark = get_mark(spark, control_path, table)
     since = mark - lookback if lookback else mark
@@ -85,14 +92,9 @@ def load_increment(
     shape = finish(batch)
     create_if_missing(shape, target_path, *partition_by)
     target = read_parquet(spark, target_path, shape.schema)
-    loaded = loaded_after(target, ts, since, bool(partition_by))
-    if has_rows(loaded):
-        batch = without_loaded(batch, loaded, key, ts, mark)
-
     if not has_rows(batch):
-        ahead = loaded_after(target, ts, mark, bool(partition_by))
-        newest = latest(ahead, ts, "newest").select(wall_clock(F.col("newest")))
-        reached = newest.first()[0]
+        ahead = loaded_after(target, ts, mark, partition_by)
+        reached = latest(ahead, ts, "newest").select(wall_clock(F.col("newest"))).first()[0]
         if reached:
             set_mark(spark, control_path, table, reached)
         return LoadResult(0, reached or mark)
@@ -100,12 +102,22 @@ def load_increment(
     seen, seen_metrics = observed(
         drop_exact_copies(batch), f"{table}_batch", wall_clock(F.max(ts)).alias("newest")
     )
-    result, result_metrics = observed(finish(seen), f"{table}_rows")
-    if partition_by:
-        append_partitioned(result, target_path, *partition_by)
-    else:
-        append_parquet(result, target_path)
+    rows = finish(seen)
+    loaded = loaded_after(target, ts, since, partition_by)
+    again = has_rows(loaded)
+    if again:
+        # The target is read and written, and often no row is left: so the few rows take a step between.
+        path = scratch_path(spark, f"{table}_rows")
+        overwrite_parquet(without_loaded(rows, loaded, key, ts, mark), path)
+        rows = read_parquet(spark, path, shape.schema)
+        count = rows.count()  # from the footers of the files
+    result, result_metrics = observed(rows, f"{table}_rows")
+    if not again or count:
+        if partition_by:
+            append_partitioned(result, target_path, *partition_by)
+        else:
+            append_parquet(result, target_path)
 
     reached = max(mark, seen_metrics.get["newest"])
     set_mark(spark, control_path, table, reached)
-    return LoadResult(result_metrics.get["rows"], reached)
+    return LoadResult(count if again else result_metrics.get["rows"], reached)

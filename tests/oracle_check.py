@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -73,6 +74,7 @@ def main() -> int:
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": os.environ.get("CHECK_SHARED_DIR", "/tmp/starmart-check"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -188,7 +188,7 @@ def test_mark_filter_reaches_the_scan_below_the_dedupe(spark, tmp_path):
 def test_known_rows_are_looked_for_in_few_months_only(spark, shop):
     shop.load([order("a", "2017-01-05"), order("b", "2018-01-10")])
     target = read_parquet(spark, shop.target)
-    loaded = incremental.loaded_after(target, "purchase_ts", datetime(2018, 1, 1), True)
+    loaded = incremental.loaded_after(target, "purchase_ts", datetime(2018, 1, 1), ("year", "month"))
     assert [r["order_id"] for r in loaded.collect()] == ["b"]
     plan = plan_of(loaded)
     assert "year" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
@@ -201,3 +201,12 @@ def test_written_timestamps_have_statistics(spark, shop):
     footer = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
     columns = {footer.column(i).path_in_schema: footer.column(i) for i in range(footer.num_columns)}
     assert columns["purchase_ts"].statistics.has_min_max
+
+
+def test_late_rows_with_one_review_id_are_both_loaded(spark, tmp_path):
+    """A review id alone does not name a review row: its order does too."""
+    batch = spark.createDataFrame([("r", "o1", 5), ("r", "o2", 3)], "review_id string, order_id string, n int")
+    batch = batch.withColumn("ts", F.lit("2018-01-02").cast("timestamp"))
+    loaded = batch.where("order_id = 'o1'")
+    left = incremental.without_loaded(batch, loaded, ("review_id", "order_id"), "ts", datetime(2018, 2, 1))
+    assert [r["order_id"] for r in left.collect()] == ["o2"]

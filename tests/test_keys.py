@@ -1,55 +1,50 @@
+"""Surrogate keys: dense, repeatable, kept once given."""
+
 from __future__ import annotations
 
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.keys import dense_key
+from starmart.operators.keys import new_keys, numbered, occurrences, with_keys
 
+BUSINESS = ["id"]
 
-@pytest.fixture
-def many_partitions(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    yield
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
+def keyed(spark, rows):
+    return spark.createDataFrame(rows, "id string, name string")
 
-def test_keys_follow_the_business_key(spark, many_partitions):
-    df = spark.range(10_000).select(
-        F.format_string("c%08d", 9_999 - F.col("id")).alias("name"), F.col("id").alias("n")
-    )
-    keyed = dense_key(df, "k", ["name"])
-    assert keyed.columns == ["k", "name", "n"]
-    rows = keyed.orderBy("k").collect()
-    assert [r["k"] for r in rows] == list(range(10_000))
-    assert [r["n"] for r in rows] == list(range(9_999, -1, -1))
 
+def test_keys_are_dense_and_do_not_depend_on_partitions(spark):
+    rows = [(f"c{i % 900}", f"n{i}") for i in range(1000)]
+    df = keyed(spark, rows)
+    one = sorted(map(tuple, numbered(df.coalesce(1), "key", BUSINESS).collect()))
+    many = sorted(map(tuple, numbered(df.repartition(13), "key", BUSINESS).collect()))
+    assert one == many and [r[0] for r in one] == list(range(1000))
 
-def test_keys_do_not_depend_on_partitioning(spark, many_partitions):
-    df = spark.range(5_000).select(F.sha2(F.col("id").cast("string"), 256).alias("name"))
-    one = dense_key(df.repartition(1), "k", ["name"])
-    other = dense_key(df.repartition(13), "k", ["name"])
-    assert one.join(other, ["k", "name"]).count() == 5_000
 
+@pytest.mark.parametrize("rows", [[], [(None, "x")], [("a", "x"), ("a", "x"), (None, None)]])
+def test_empty_null_and_equal_rows(spark, rows):
+    made = numbered(keyed(spark, rows), "key", BUSINESS).collect()
+    assert sorted(r["key"] for r in made) == list(range(len(rows)))
 
-def test_hot_key_and_copies_spread_over_partitions(spark, many_partitions):
-    """A third of the rows share the key, a third are equal in every column."""
-    df = spark.range(30_000).select(
-        F.when(F.col("id") < 20_000, 7).otherwise(F.col("id")).alias("name"),
-        F.when(F.col("id") < 10_000, 0).otherwise(F.col("id")).alias("n"),
-    )
-    keyed = dense_key(df, "k", ["name"])
-    stats = keyed.agg(F.min("k"), F.max("k"), F.count_distinct("k")).first()
-    assert tuple(stats) == (0, 29_999, 30_000)
-    largest = keyed.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert largest < 8_000
-    assert keyed.filter("name = 7 and n = 0").count() == 10_000
 
+def test_building_a_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("keys-plan", "keys-plan")
+    numbered(keyed(spark, [("a", "x")]), "key", BUSINESS)
+    assert list(tracker.getJobIdsForGroup("keys-plan")) == []
 
-def test_empty_table(spark):
-    assert dense_key(spark.range(0), "k", ["id"]).count() == 0
 
+def test_known_keys_stay_when_business_keys_are_added(spark):
+    old = keyed(spark, [(f"c{i}", "n") for i in range(50)] + [(None, "n"), ("c1", "second")])
+    known = new_keys(old, "key", BUSINESS, numbered(occurrences(old.limit(0), BUSINESS), "key", BUSINESS), None)
+    before = {tuple(r)[1:]: r["key"] for r in with_keys(old, "key", BUSINESS, known).collect()}
+    assert sorted(before.values()) == list(range(52))
 
-def test_null_business_key_comes_first(spark):
-    df = spark.createDataFrame([("b",), (None,), ("a",)], "name string")
-    got = {r["name"]: r["k"] for r in dense_key(df, "k", ["name"]).collect()}
-    assert got == {None: 0, "a": 1, "b": 2}
+    new = old.unionAll(keyed(spark, [("b0", "n"), ("d9", "n"), ("c1", "third")]))
+    added = new_keys(new, "key", BUSINESS, known, 51)
+    assert sorted(r["key"] for r in added.collect()) == [52, 53, 54]
+    after = with_keys(new, "key", BUSINESS, known.unionByName(added))
+    kept = {tuple(r)[1:]: r["key"] for r in after.collect()}
+    assert len(kept) == 55 and all(kept[row] == key for row, key in before.items())
+    assert after.agg(F.countDistinct("key")).first()[0] == 55

@@ -73,12 +73,20 @@ def test_all_jobs_twice(house):
         "fact_sales": 3,
     }
     first = contents(house)
-    assert first["fact_sales"] == [
-        (0, 0, 0, 20180303, "o1", 1, 100.0, 10.5, 160.5, 5.0, 5, 1),
-        (0, 1, 0, 20180303, "o1", 2, 50.0, 0.0, 160.5, 5.0, 5, 1),
-        (1, 0, 1, 20180401, "o2", 2, 20.0, 5.0, 25.0, 3.0, None, 0),
-    ]
-    assert first["dim_customer"][0] == (0, "c1", "u1", "sao paulo", "SP", "Southeast")
+    customer = {row[1]: row[0] for row in first["dim_customer"]}
+    product = {row[1]: row[0] for row in first["dim_product"]}
+    seller = {row[1]: row[0] for row in first["dim_seller"]}
+    assert all(sorted(keys.values()) == [0, 1] for keys in (customer, product, seller))
+    assert sorted(row[:1] + row[3:] for row in first["fact_sales"]) == sorted(
+        [
+            (customer["c1"], 20180303, "o1", 1, 100.0, 10.5, 160.5, 5.0, 5, 1),
+            (customer["c1"], 20180303, "o1", 2, 50.0, 0.0, 160.5, 5.0, 5, 1),
+            (customer["c2"], 20180401, "o2", 2, 20.0, 5.0, 25.0, 3.0, None, 0),
+        ]
+    )
+    assert {row[1] for row in first["fact_sales"]} <= set(product.values())
+    assert {row[2] for row in first["fact_sales"]} <= set(seller.values())
+    assert (customer["c1"], "c1", "u1", "sao paulo", "SP", "Southeast") in first["dim_customer"]
     assert first["dim_location"] == [("01001_SP", "01001", "sao paulo", "SP", -23.5, -46.5)]
     review = house.read_silver("reviews").filter("review_id = 'r1'").first()
     assert review["review_comment_message"] == 'arrived "fast"\nthank you'
