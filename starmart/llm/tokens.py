@@ -27,9 +27,12 @@ CACHED_WORDS = 400_000
 
 
 class WordEncoder:
-    """Ids of whole texts by the library, asked once per distinct piece between two spaces.
+    """Ids of whole texts by the library, asked once per distinct word.
 
-    That is exact for tokenizers that split at white space and drop it.
+    That is exact for tokenizers that lower-case, split at white space and before marks, and drop white space. Pieces
+    between two spaces that are letters with at most one full stop or comma behind share the ids of their
+    letters; these are asked in long strings, in which every word is one of the library's words. All other
+    pieces are asked one by one.
     """
 
     def __init__(self, path: str):
@@ -38,16 +41,46 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.marks = {"": b"", ".": self.ask(".")[0], ",": self.ask(",")[0]}
+
+    def ask(self, *pieces: str) -> list[bytes]:
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        return [np.array(made.ids, dtype="<u4").tobytes() for made in encode(list(pieces), add_special_tokens=False)]
+
+    def ask_letters(self, words: list[str]) -> None:
+        for begin in range(0, len(words), 2000):
+            some = words[begin : begin + 2000]
+            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            cuts = np.flatnonzero(np.diff(np.array(made.word_ids, dtype=np.int64))) + 1
+            if cuts.size + 1 != len(some):
+                self.letters.update(zip(some, self.ask(*some), strict=True))
+                continue
+            raw, ends = np.array(made.ids, dtype="<u4").tobytes(), [0, *(4 * cuts).tolist(), 4 * len(made.ids)]
+            self.letters.update((word, raw[ends[i] : ends[i + 1]]) for i, word in enumerate(some))
+
+    def learn(self, new: list[str]) -> None:
+        parts, odd = [], []
+        for piece in new:
+            mark = piece[-1:] if piece.endswith((".", ",")) else ""
+            word = piece[:-1] if mark else piece
+            if word.isascii():
+                word = word.lower()
+            if word.isalpha():
+                parts.append((piece, word, mark))
+            else:
+                odd.append(piece)
+        self.ask_letters(list({word for _, word, _ in parts if word not in self.letters}))
+        self.known.update((piece, self.letters[word] + self.marks[mark]) for piece, word, mark in parts)
+        self.known.update(zip(odd, self.ask(*odd), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        new = [piece for piece in set().union(*pieces) if piece not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
+        if len(self.known) > CACHED_WORDS:
             self.known = {}
-            new = list(set().union(*pieces))
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for piece, made in zip(new, encode(new, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(made.ids, dtype="<u4").tobytes()
+        if len(self.letters) > CACHED_WORDS:
+            self.letters = {}
+        self.learn([piece for piece in set().union(*pieces) if piece not in self.known])
         return [b"".join(map(self.known.__getitem__, words)) for words in pieces]
 
 
