@@ -103,7 +103,7 @@ def pareto_mix(
     drawn = (
         sized.join(plan, sized["source"].eqNullSafe(plan["source"]), "left")
         .select("doc_id", sized["source"], "size", "source_size", "target", "sure", "p", "need", uniform(F.col("doc_id"), seed).alias("u"))
-        .withColumn("rank", (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p")))
+        .withColumn("rank", F.when(F.col("p") > 0, (F.col("u") / (1 - F.col("u"))) * ((1 - F.col("p")) / F.col("p"))))
         # Monotone in the rank and even on (0, 1) for the documents of one source where p is 1/2.
         .withColumn("slot", F.when(F.col("p") > 0, F.floor(F.lit(SLOTS) * F.col("rank") / (1 + F.col("rank")))).cast("long"))
     )
