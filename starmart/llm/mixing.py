@@ -5,8 +5,8 @@ a source with the rate r = target / size is first taken floor(r) times for certa
 target is drawn by Pareto order sampling (Rosen 1997): documents are ranked by (u / (1-u)) / (p / (1-p))
 with u uniform per document and p the inclusion probability, and taken in rank order until the size of
 the sample is reached. Size counts in words here, so p is the rest of the rate for every document of a
-source, differs between sources, and the sample has its size up to one document. The place where that
-document would have gone is closed with the one unsampled document that comes nearest to the gap.
+source, differs between sources, and the sample has its size up to one document. What is
+open where that document would have gone is closed with the unsampled documents that come nearest to it, at most three.
 
 The rank order is never sorted as a whole: words are summed per (source, slot of the rank scale), which
 gives the slot where the sample ends, and only that slot is ranked row by row.
@@ -134,29 +134,35 @@ def pareto_mix(
     return closed(marked)
 
 
-def closed(marked: DataFrame) -> DataFrame:
-    """Add to each source's sample the unsampled document whose size comes nearest to the words still open."""
-    gap = F.col("need") - F.col("got")
-    got = (
-        marked.groupBy("source")
-        .agg(F.coalesce(F.sum(F.when(F.col("in_sample"), F.col("size"))), F.lit(0)).alias("got"))
-        .select(F.col("source").alias("got_source"), "got")
-    )
-    open_rows = marked.where(~F.col("in_sample") & (F.col("p") > 0) & (F.col("size") > 0))
-    near = open_rows.join(got, open_rows["source"].eqNullSafe(F.col("got_source")))
-    pick = (
-        near.where(F.abs(gap - F.col("size")) < F.abs(gap))
-        .groupBy(F.col("source").alias("pick_source"))
-        .agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), "rank", "size", "doc_id")).alias("pick"))
-    )
-    pick = staged(pick, "mix-close")
-    done = marked.join(pick, marked["source"].eqNullSafe(F.col("pick_source")), "left")
-    chosen = F.coalesce(
-        (F.col("rank") == F.col("pick.rank")) & (F.col("size") == F.col("pick.size")) & F.col("doc_id").eqNullSafe(F.col("pick.doc_id")),
-        F.lit(False),
-    )
-    copies = F.col("sure") + (F.col("in_sample") | chosen).cast("long")
-    return done.select(
+def closed(marked: DataFrame, turns: int = 3) -> DataFrame:
+    """Add to each source's sample the unsampled document whose size comes nearest to the words still open, `turns` times.
+
+    A long document at the cut may leave much open; each turn takes one document a source, and only if
+    it brings the sample nearer.
+    """
+    for turn in range(turns):
+        gap = F.col("need") - F.col("got")
+        got = (
+            marked.groupBy("source")
+            .agg(F.coalesce(F.sum(F.when(F.col("in_sample"), F.col("size"))), F.lit(0)).alias("got"))
+            .select(F.col("source").alias("got_source"), "got")
+        )
+        open_rows = marked.where(~F.col("in_sample") & (F.col("p") > 0) & (F.col("size") > 0))
+        near = open_rows.join(got, open_rows["source"].eqNullSafe(F.col("got_source")))
+        name, of = f"pick{turn}", f"pick_source{turn}"
+        pick = (
+            near.where(F.abs(gap - F.col("size")) < F.abs(gap))
+            .groupBy(F.col("source").alias(of))
+            .agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), "rank", "size", "doc_id")).alias(name))
+        )
+        marked = marked.join(staged(pick, "mix-close"), marked["source"].eqNullSafe(F.col(of)), "left")
+        chosen = F.coalesce(
+            (F.col("rank") == F.col(f"{name}.rank")) & (F.col("size") == F.col(f"{name}.size")) & F.col("doc_id").eqNullSafe(F.col(f"{name}.doc_id")),
+            F.lit(False),
+        )
+        marked = marked.withColumn("in_sample", F.col("in_sample") | chosen).drop(name, of)
+    copies = F.col("sure") + F.col("in_sample").cast("long")
+    return marked.select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
 

@@ -87,4 +87,69 @@ QUERIES = {
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_log_templates": op10_log_templates,
 }
-ORACLE: dict[str, str] = {}
+
+
+def _mix_sql() -> str:
+    """The mix by whole windows, one step after the other, in the same arithmetic."""
+    closing, last = "", "drawn"
+    for turn in range(3):
+        closing += f"""
+    got{turn} as (select source, sum(case when kept then size else 0 end) as got from {last} group by source),
+    pick{turn} as (
+        select t.source, min(row(abs(need - got - size), "rank", size, doc_id)) as pick
+        from {last} t join got{turn} g on t.source is not distinct from g.source
+        where not kept and p > 0 and size > 0 and abs(need - got - size) < abs(need - got) group by t.source
+    ),
+    kept{turn} as (
+        select t.* exclude (kept), kept or coalesce(row("rank", size, doc_id) = row(pick[2], pick[3], pick[4]), false) as kept
+        from {last} t left join pick{turn} k on t.source is not distinct from k.source
+    ),"""
+        last = f"kept{turn}"
+    return rf"""
+    with sized as (
+        select doc_id, source,
+            coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size
+        from documents
+    ),
+    weighed as (
+        select source, sum(size)::bigint as source_size,
+            (((row_number() over (order by source nulls last)) - 1) % 3 + 1)::double as weight
+        from sized group by source
+    ),
+    levels as (
+        select *, source_size / weight as reach,
+            (sum(source_size) over ()::double - 3::double * coalesce(sum(source_size) over w, 0)::double)
+                / (sum(weight) over () - coalesce(sum(weight) over w, 0)) as level
+        from weighed
+        window w as (order by source_size / weight, weight, source nulls last rows between unbounded preceding and 1 preceding)
+    ),
+    judged as (select *, source_size * 3::double <= weight * level as capped from levels),
+    plan as (
+        select source, source_size, case when capped then source_size * 3::double
+            else weight * (select level from judged where not capped order by reach, level limit 1) end as target
+        from judged
+    ),
+    rated as (
+        select *, case when source_size > 0 then target / source_size else 0::double end as rate,
+            least(floor(case when source_size > 0 then target / source_size else 0::double end), 3)::bigint as sure
+        from plan
+    ),
+    chances as (
+        select s.doc_id, s.source, s.size, source_size, target, sure, greatest(rate - sure, 0::double) as p,
+            target - sure * source_size as need,
+            (('0x' || md5('17:' || s.doc_id)[1:12])::bigint::double + 0.5::double) / 281474976710656::double as u
+        from sized s join rated r on s.source is not distinct from r.source
+    ),
+    ranked as (
+        select *, case when p > 0 then (u / (1 - u)) * ((1 - p) / p) end as "rank" from chances
+    ),
+    drawn as (
+        select *, p > 0 and sum(size) over (partition by source order by "rank", size, doc_id
+            rows between unbounded preceding and current row) <= need as kept
+        from ranked
+    ),{closing}
+    done as (select *, sure + kept::bigint as copies from {last})
+    select doc_id, size, source_size, target, (copies * size)::bigint as taken, copies::bigint as copies from done"""
+
+
+ORACLE: dict[str, str] = {"op2_pareto_mix": _mix_sql()}

@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import re
+
+from starmart.llm.licenses import scan_licenses
+from tests.llm import corpus
+
+PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
+SMALL = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def base(text: str | None):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(SMALL))
+    found = [
+        (k, label)
+        for label, phrase in PHRASES.items()
+        for k in range(len(words))
+        if words[k : k + len(phrase.split())] == phrase.split()
+    ]
+    starts = [k for k, _ in found]
+    labels = ",".join(sorted({label for _, label in found}))
+    return len(words), len(found), min(starts, default=None), max(starts, default=None), labels
+
+
+def test_base_phrases_at_all_places(spark):
+    texts = [
+        "Licensed under CC-BY-NC 4.0. cc by cc by; all rights, reserved ALL RIGHTS RESERVED",
+        "the gnu general public license version 3 general public", "ReleasKed ccé by", "public license",
+        "cc", "by", "x " * 3000 + "released under the MIT License", "all all rights reserved rights reserved",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy", None, "", "...",
+    ]
+    docs = spark.createDataFrame([(i, t, "r", "w") for i, t in enumerate(texts)], "doc_id long, text string, row string, words string")
+    docs = docs.unionByName(docs.where("doc_id = 0")).unionByName(docs.where("doc_id = 1").selectExpr("null as doc_id", "text", "row", "words"))
+    texts += [texts[0], texts[1]]
+    got = scan_licenses(docs).collect()
+    assert len(got) == len(texts)
+    made = sorted((r["n_words"], r["n_base"], r["first_word"] or -1, r["last_word"] or -1, r["base_labels"]) for r in got)
+    assert made == sorted((n, k, a or -1, b or -1, x) for n, k, a, b, x in map(base, texts))
+    labels = {r["doc_id"]: r["labels"] for r in got if r["doc_id"] is not None}
+    assert labels[0] == "cc-by,cc-by-nc,reserved" and labels[6] == labels[8] == "mit" and labels[3] == ""
+    assert "gpl-3" in labels[1].split(",")
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_rare_words_of_a_corpus_without_licenses(spark):
+    got = scan_licenses(corpus.documents(spark)).collect()
+    assert len(got) == corpus.documents(spark).count() and all(r["labels"] == "" for r in got)
+    assert scan_licenses(corpus.empty(spark)).count() == 0

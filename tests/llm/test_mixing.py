@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart.llm.mixing import mixed_documents, pareto_mix, word_count
+from tests.llm import corpus
+
+
+def water_filled(sizes: dict, cap: float = 3.0) -> dict:
+    """Targets by repeated resharing, as a plain loop."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (1, 2, 3)[i % 3] for i, s in enumerate(order)}
+    fixed, total = {}, sum(sizes.values())
+    while True:
+        open_ = [s for s in order if s not in fixed]
+        left = total - sum(fixed.values())
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_} if open_ else {}
+        over = [s for s in open_ if share[s] > cap * sizes[s]]
+        if not over:
+            return fixed | share
+        fixed |= {s: cap * sizes[s] for s in over}
+
+
+def test_sizes_targets_and_taken_words(spark):
+    docs = corpus.documents(spark, rows=400)
+    got = pareto_mix(docs).collect()
+    assert len(got) == docs.count()
+    texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id is not null").collect()}
+    for row in got:
+        if row["doc_id"] is not None:
+            assert row["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", texts[row["doc_id"]] or ""))
+        assert 0 <= row["taken"] <= 3 * row["size"] and row["taken"] == row["copies"] * row["size"]
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for row in got:
+        sizes[row["source"]] += row["size"]
+        taken[row["source"]] += row["taken"]
+    wanted = water_filled(sizes)
+    for row in got:
+        assert row["source_size"] == sizes[row["source"]]
+        assert row["target"] == pytest.approx(wanted[row["source"]], abs=1e-6)
+    largest = {s: max(r["size"] for r in got if r["source"] == s) for s in sizes}
+    for source, target in wanted.items():
+        # One text has 20,000 words: its source can't come nearer than without it, or with it.
+        few = largest[source] > target
+        assert abs(taken[source] - target) <= (largest[source] if few else max(0.02 * target, 30))
+
+
+def test_small_sources_stop_at_three_times_their_size(spark):
+    rows = [(i, "w " * 100, "big") for i in range(50)] + [(99, "w " * 10, "tiny")]
+    got = pareto_mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    tiny = got.where("source = 'tiny'").first()
+    assert (tiny["target"], tiny["taken"], tiny["copies"]) == (30.0, 30, 3)
+
+
+def test_reruns_agree_and_empty_tables_pass(spark):
+    docs = corpus.documents(spark)
+    one, other = pareto_mix(docs), pareto_mix(docs.repartition(7))
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert pareto_mix(corpus.empty(spark)).count() == 0
+
+
+def test_documents_repeat_as_often_as_taken(spark):
+    docs = corpus.documents(spark)
+    mixed = mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == pareto_mix(docs).agg(F.sum("copies")).first()[0]
+    assert mixed_documents(corpus.empty(spark)).count() == 0
+
+
+def test_word_count_knows_its_blanks_only(spark):
+    texts = [None, "", " ", "a", " a\tb\x0bc\x0cd\re\nf ", "a b c\x1cd", "  x  y  "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(word_count(F.col("t"))).collect()] == [0, 0, 0, 1, 6, 1, 2]
