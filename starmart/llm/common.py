@@ -15,11 +15,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+#: Spark's own setting: the files of a query's shuffles go when it ends, not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the shared folder and read back: cut lineage that survives a lost executor."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written once to the shared folder and read back: cut lineage that survives a lost executor.
+
+    `df` itself is not run again, so the shuffles of the write are of no more use.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, label), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

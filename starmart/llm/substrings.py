@@ -118,7 +118,10 @@ def all_anchors(docs: DataFrame) -> DataFrame:
 
 
 def single_strings(docs: DataFrame, ranges: DataFrame) -> DataFrame:
-    """bucket, string, row, start of every string in the ranges (bucket, low, high) of a row."""
+    """bucket, string, row, start of every string in the ranges (bucket, low, high) of a row.
+
+    Repeated rows give their strings once each, and have no string to themselves.
+    """
     lists = ranges.groupBy(F.col("row").alias("of_row")).agg(F.collect_list(F.struct("bucket", "low", "high")).alias("ranges"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -140,8 +143,9 @@ def single_strings(docs: DataFrame, ranges: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """row, low, high: ranges of starts of strings that also start elsewhere, from (row, text) with unique rows."""
-    found = staged(all_anchors(docs), "anchors")
+    """row, low, high: ranges of starts of strings that also start elsewhere, from (row, text); equal rows have equal numbers."""
+    # Read twice, and made anew each time: a written copy would be as large as the corpus is packed.
+    found = all_anchors(docs)
     buckets = (
         found.groupBy(F.col("bucket").alias("of_bucket"))
         .agg(F.count("*").alias("n"), F.min("refined").alias("least"), F.max("refined").alias("most"))
@@ -155,11 +159,17 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         mixed.groupBy("bucket", "refined").agg(F.count("*").alias("n"), F.min(F.struct("row", "low", "high")).alias("one")), "anchor-classes"
     )
     several = classes.where("n > 1").select(F.col("bucket").alias("of_bucket"), F.col("refined").alias("of_refined"))
-    also_whole = mixed.join(several, (F.col("bucket") == F.col("of_bucket")) & (F.col("refined") == F.col("of_refined"))).select("row", "low", "high")
+    also_whole = staged(
+        mixed.join(several, (F.col("bucket") == F.col("of_bucket")) & (F.col("refined") == F.col("of_refined"))).select("row", "low", "high"),
+        "repeat-classes",
+    )
     # One anchor of each class gives its strings. Those of classes with several are removed anyway, and only lend their strings.
     strings = staged(single_strings(docs, classes.select("bucket", "one.row", "one.low", "one.high")), "strings")
     twice = strings.groupBy(F.col("bucket").alias("of_bucket"), F.col("string").alias("of_string")).agg(F.count("*").alias("n")).where("n > 1")
-    single = strings.join(twice, (F.col("bucket") == F.col("of_bucket")) & (F.col("string") == F.col("of_string"))).select("row", F.col("start").alias("low"), F.col("start").alias("high"))
+    single = staged(
+        strings.join(twice, (F.col("bucket") == F.col("of_bucket")) & (F.col("string") == F.col("of_string"))).select("row", F.col("start").alias("low"), F.col("start").alias("high")),
+        "repeat-strings",
+    )
     return whole.unionByName(also_whole).unionByName(single)
 
 
@@ -167,16 +177,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, n_removed, n_spans, kept: one row per input row; kept has the bytes that are left.
 
     Each byte goes that a string of LENGTH bytes covers which also starts at any other place of any row, the row
-    itself included. Null and empty texts have no bytes, and texts shorter than LENGTH lose none. Rows are told apart
-    by a number in a staged copy, so ids may be null or repeat; repeated rows remove each other. Other columns are ignored.
+    itself included. Null and empty texts have no bytes, and texts shorter than LENGTH lose none. Rows are known
+    by a hash of id and text, so ids may be null or repeat; repeated rows remove each other. Other columns are ignored.
     """
-    rows = staged(
-        docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")),
-        "repeat-rows",
-    )
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = source.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
     ranges = repeated_ranges(rows.select("row", "text"))
-    lists = ranges.distinct().groupBy(F.col("row").alias("of_row")).agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
-    met = rows.join(staged(lists, "repeat-lists"), F.col("row") == F.col("of_row"), "left").select("doc_id", "text", "lows", "highs")
+    # Repeated rows have the same ranges, so a set has no more of them than one row.
+    lists = ranges.groupBy(F.col("row").alias("of_row")).agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    met = rows.join(staged(lists, "repeat-lists"), F.col("row") == F.col("of_row"), "left").select("doc_id", "text", "ranges.low", "ranges.high")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
