@@ -89,7 +89,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ignored. `score` is the best among a row's labelled places; other templates than the base ones need `least`.
     """
     words = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
-    templates, postings = (staged(x, "license-index") for x in index(inverse_frequencies(words)))
+    idf = staged(inverse_frequencies(words), "license-idf")
+    templates, postings = (staged(x, "license-index") for x in index(idf))
     rare = [row["word"] for row in postings.select("word").distinct().collect()]  # two words per template at most
     spots = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.lower(F.get("words", i)).isin(rare))
     around = lambda i: F.struct(
