@@ -120,13 +120,23 @@ def regions(docs: DataFrame, vocabulary: np.ndarray, hashes: np.ndarray, reach:
 
 
 def best_run(same: np.ndarray, share: float) -> tuple[int, int, int]:
-    """begin, end, matches of the best stretch of a diagonal: a match earns 1 - share, a miss costs share."""
-    gain = np.where(same, 1 - share, -share)
-    total = np.concatenate([[0.0], np.cumsum(gain)])
-    rise = total - np.minimum.accumulate(total)
-    end = int(np.argmax(rise))
-    begin = int(np.argmin(total[: end + 1]))
-    return begin, end, int(same[begin:end].sum())
+    """begin, end, matches of the stretch of a diagonal with most matches of all that have `share` of their words equal.
+
+    Of such stretches the longest has most matches: one more word would take it below the share, or it is the whole
+    diagonal. Without the misses around its matches it keeps the share; of equal counts the shortest, then the first, is taken.
+    """
+    total = np.concatenate([[0], np.cumsum(same)])
+    level = total - share * np.arange(total.size)
+    # Leftmost begin whose level is not above that of the end, for every end; levels are rounded sums.
+    begin = np.searchsorted(-np.minimum.accumulate(level), -(level + 1e-9))
+    end = int(np.argmax(np.arange(total.size) - begin))
+    matched = int(total[end] - total[begin[end]])
+    if not matched:
+        return 0, 0, 0
+    at = np.flatnonzero(same)
+    widths = at[matched - 1 :] - at[: at.size - matched + 1] + 1
+    first = int(np.argmin(widths))
+    return int(at[first]), int(at[first] + widths[first]), matched
 
 
 def find_leaks(
@@ -197,7 +207,7 @@ def overlaps(near: DataFrame, items: DataFrame, least_words: int, share: float)
                 continue
             same = words[low + diagonal - begin : high + diagonal - begin] == wanted[low:high]
             a, b, matched = best_run(same, share)
-            if matched >= min(least_words, int(np.ceil(share * wanted.size))):
+            if matched >= min(least_words, int(np.ceil(share * wanted.size - 1e-9))):
                 rows.append((row, doc_id, item_id, low + a + diagonal, b - a, matched))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)], names=["row", "doc_id", "item_id", "first_word", "n_words", "n_matched"])
 

@@ -54,6 +54,37 @@ def test_substitutions_are_tolerated_and_clean_texts_left(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _ in rows if i not in bad)
 
 
+def overlaps_of(words, wanted, least=13, share=0.75):
+    """The definition itself: every stretch of every diagonal. Most equal words, then fewest words, then first; or None."""
+    best = None
+    for d in range(1 - len(wanted), len(words)):
+        low, high = max(0, -d), min(len(wanted), len(words) - d)
+        for i in range(low, high):
+            n = 0
+            for j in range(i, high):
+                n += words[j + d] == wanted[j]
+                if n >= share * (j + 1 - i) and n >= min(least, share * len(wanted)):
+                    best = max(best or (0, 0, 0), (n, i - j - 1, -(i + d)))
+    return best and (-best[2], -best[1], best[0])
+
+
+def changed(pattern, names):
+    return [w if c == "M" else "swapped" for c, w in zip(pattern, names, strict=True)]
+
+
+def test_every_qualifying_stretch_is_a_leak(spark):
+    rng = random.Random(5)
+    patterns = ["MMMMMMxxMMMxMMMxMMMM", "MMMMMMMxxMMMMMMxxMMMMM", "MMMMMMxxxxMMMxxMMMxM"]
+    patterns += ["".join(rng.choices("Mx", (5, 1), k=rng.randint(14, 40))) for _ in range(60)]
+    items = [(i, [f"w{i}x{k}" for k in range(len(p))]) for i, p in enumerate(patterns)]
+    docs = [(i, ["aside"] * rng.randint(0, 9) + changed(p, items[i][1]) + ["after"] * rng.randint(0, 9)) for i, p in enumerate(patterns)]
+    wanted = {(i, i, *made) for i, words in docs if (made := overlaps_of(words, items[i][1]))}
+    assert any(r[0] == 0 for r in wanted) and len(wanted) < len(docs)
+    df, bench = (spark.createDataFrame([(i, " ".join(w)) for i, w in x], f"{n} long, text string") for x, n in ((docs, "doc_id"), (items, "item_id")))
+    got = {tuple(r) for r in find_leaks(df, bench).drop("row").collect()}
+    assert got == wanted
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     docs = corpus.documents(spark)
