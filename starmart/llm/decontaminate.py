@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import map_batches, staged
 
-# Six, six and five words that count; the last mask survives a change of every fifth word.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 1, 2, 3, 5))
+# Fixed values, four words that count: with three quarters of the words equal, at least one of the first two masks is
+# met wherever the misses lie in an item of nine words and more, and one of all in an item of five to eight
+# (the test tries all places of misses; more than 33 words split into stretches of 17 to 33, one of which has the share).
+MASKS = ((0, 1, 2, 4), (0, 3, 4, 5), (0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 4), (0, 1, 2, 5))
+LONG_MASKS, LONG_FROM = 2, 9
 LEAST_WORDS = 5
 #: Test places held by every task at once; a larger benchmark is taken in parts, one scan of the corpus each.
 PLACES_AT_ONCE = 2_000_000
@@ -29,10 +32,15 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
-def seeds(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of all masks over word numbers; 0 is a word that the benchmark does not have."""
+def masks_for(n_words: int) -> int:
+    """How many of the masks an item of so many words needs."""
+    return LONG_MASKS if n_words >= LONG_FROM else len(MASKS)
+
+
+def seeds(ids: np.ndarray, n_masks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the first masks over word numbers; 0 is a word that the benchmark does not have."""
     hashes, places = [], []
-    for nth, mask in enumerate(MASKS):
+    for nth, mask in enumerate(MASKS[:n_masks]):
         n = ids.size - mask[-1]
         if n <= 0:
             continue
@@ -63,7 +71,7 @@ def test_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = [[word_id(w) for w in words_of(t.as_py())] for t in batch.column(1)]
-        made = [seeds(np.array(w, dtype=np.uint64)) for w in words]
+        made = [seeds(np.array(w, dtype=np.uint64), masks_for(len(w))) for w in words]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
@@ -78,7 +86,7 @@ def test_items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
     return map_batches(source, work, "item_id long, words array<long>, hashes array<long>, places array<long>")
 
 
-def regions(docs: DataFrame, vocabulary: np.ndarray, hashes: np.ndarray, reach: int) -> DataFrame:
+def regions(docs: DataFrame, vocabulary: np.ndarray, hashes: np.ndarray, reach: int, n_masks: int) -> DataFrame:
     """row, doc_id, region, begin, words, seeds: runs of places with hashes of the benchmark, `reach` words wider on each side.
 
     vocabulary, hashes: sorted numbers of the words and the seeds of this part of the benchmark.
@@ -100,7 +108,7 @@ def regions(docs: DataFrame, vocabulary: np.ndarray, hashes: np.ndarray, reach:
                     made = word_id(w)
                     numbers[w] = made if made in inside else 0
             ids = np.fromiter(map(numbers.__getitem__, words), dtype=np.uint64, count=len(words))
-            found, places = seeds(ids)
+            found, places = seeds(ids, n_masks)
             if not found.size:
                 continue
             at = np.searchsorted(wanted, found)
@@ -164,8 +172,8 @@ def find_leaks(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
     )
-    stats = items.agg(F.sum(F.size("hashes")), F.max(F.size("words"))).first()
-    parts, reach = -(-(stats[0] or 0) // PLACES_AT_ONCE), stats[1] or 0
+    stats = items.agg(F.sum(F.size("hashes")), F.max(F.size("words")), F.min(F.size("words"))).first()
+    parts, reach, n_masks = -(-(stats[0] or 0) // PLACES_AT_ONCE), stats[1] or 0, masks_for(stats[2] or 0)
     found: DataFrame | None = None
     for part in range(parts):
         own = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part)
@@ -173,7 +181,7 @@ def find_leaks(
         vocabulary = np.array([r[0] for r in own.select(F.explode("words")).distinct().collect()], dtype=np.int64).astype(np.uint64)
         hashes = np.array([r[0] for r in own.select(F.explode("hashes")).distinct().collect()], dtype=np.int64).astype(np.uint64)
         if hashes.size:
-            near = staged(regions(source, np.sort(vocabulary), np.sort(hashes), reach), "leak-regions")
+            near = staged(regions(source, np.sort(vocabulary), np.sort(hashes), reach, n_masks), "leak-regions")
             made = overlaps(near, own, least_words, share)
             found = made if found is None else found.unionByName(made)
     if found is None:

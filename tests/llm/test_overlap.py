@@ -85,6 +85,36 @@ def test_every_qualifying_stretch_is_a_leak(spark):
     assert got == wanted
 
 
+def most_without_seed(masks, n):
+    """Most equal words among n with no mask met at any place, over all places of the misses."""
+    span = max(m[-1] for m in masks) + 1
+    shapes = [(m[-1] + 1, sum(1 << (m[-1] - k) for k in m)) for m in masks]
+    best = {0: 0}
+    for at in range(1, n + 1):
+        step = {}
+        for tail, count in best.items():
+            for bit in (0, 1):
+                new = (tail << 1 | bit) & ((1 << span) - 1)
+                if not any(at >= width and new & shape == shape for width, shape in shapes):
+                    step[new] = max(step.get(new, 0), count + bit)
+        best = step
+    return max(best.values())
+
+
+def test_every_overlap_has_a_seed(spark):
+    for size in range(5, 34):
+        masks = decontaminate.MASKS[: decontaminate.masks_for(size)]
+        need = min(13, int(np.ceil(0.75 * size)))
+        for n in range(need, size + 1):
+            assert most_without_seed(masks, n) < max(need, 0.75 * n), (size, n)
+    patterns = ["MMMMM", "MMxMM", "xMMMM", "MxMMMM", "MMMxxMMM", "MMMx" * 5, "MMMx" * 15]
+    items = [(i, [f"w{i}x{k}" for k in range(len(p))]) for i, p in enumerate(patterns)]
+    docs = [(i, ["aside", *changed(p, items[i][1])]) for i, p in enumerate(patterns)]
+    df, bench = (spark.createDataFrame([(i, " ".join(w)) for i, w in x], f"{n} long, text string") for x, n in ((docs, "doc_id"), (items, "item_id")))
+    got = {tuple(r) for r in find_leaks(df, bench).drop("row").collect()}
+    assert got == {(i, i, *overlaps_of(words, items[i][1])) for i, words in docs}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
     docs = corpus.documents(spark)
