@@ -5,6 +5,9 @@ fields generalised. Tokens with a digit are variable everywhere. In lines of nin
 vary, which lies in one third of the line: such a line has a leaf for each third left open beside
 the leaf with all tokens. A leaf that lines of many documents reach is a recurring template; lines under it are dropped.
 
+A line of fifty tokens and more that two different texts hold word for word is a repeated passage. It stays in
+one of the texts: copied documents share all their passages, and would lose them altogether.
+
 Leaves are hashes, so no leaf's lines are ever gathered: documents per leaf are partial sums.
 """
 
@@ -22,6 +25,8 @@ from starmart.llm.common import staged
 
 LEADING = 3
 OPEN_FROM = 9
+#: Tokens from which a line that another text holds too is a repeated passage.
+PASSAGE_FROM = 50
 FIELD = "<*>"
 _VARIABLE = re.compile(r"\S*\d\S*")
 
@@ -43,30 +48,42 @@ def leaves(line: str) -> tuple[int, ...]:
     return tuple(xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in made)
 
 
+def passage(line: str) -> int | None:
+    """Hash of the tokens of a long line as they are; None for a shorter one."""
+    tokens = line.split()
+    return xxhash.xxh3_64_intdigest("passage\n" + " ".join(tokens)) - (1 << 63) if len(tokens) >= PASSAGE_FROM else None
+
+
 def line_leaves(docs: DataFrame) -> DataFrame:
-    """key, leaves: a number of each row's text and the distinct leaves of its lines."""
+    """key, leaves, passages: a number of each row's text, the distinct leaves of its lines and its long lines."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             made = [list(dict.fromkeys(x for line in (t or "").split("\n") for x in leaves(line))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], names=["key", "leaves"])
+            long = [list({p for line in (t or "").split("\n") if (p := passage(line)) is not None}) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(pa.int64())) for x in (made, long))], names=["key", "leaves", "passages"])
 
-    return docs.select("key", "text").mapInArrow(work, "key long, leaves array<long>")
+    return docs.select("key", "text").mapInArrow(work, "key long, leaves array<long>, passages array<long>")
 
 
 def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_documents: int = 10) -> DataFrame:
     """doc_id, text, n_lines, n_dropped: one row per input row, its text without lines of recurring templates.
 
-    A template recurs if `least_documents` rows hold a line of it; repeated rows count each. Lines end at a line
+    A template recurs if `least_documents` rows hold a line of it; repeated rows count each. A passage that different texts
+    hold stays in one of them, and in the rows with an equal text; within one text it is not compared. Lines end at a line
     feed; blank lines are kept and not counted. A null text stays null and has no lines; ids may be null or repeat; other columns are ignored.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Rows are joined by their text, so equal texts share their list and ids do not matter.
     keyed = source.withColumn("key", F.xxhash64("text"))
-    found = staged(line_leaves(keyed), "line-leaves").select("key", F.explode("leaves").alias("leaf"))
+    made = staged(line_leaves(keyed), "line-leaves")
+    found, long = (made.select("key", F.explode(x).alias("leaf")) for x in ("leaves", "passages"))
     recurring = staged(found.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= least_documents).select(F.col("leaf").alias("of_leaf")), "templates")
+    held = long.groupBy(F.col("leaf").alias("of_leaf")).agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    repeated = staged(held.where("first <> last").drop("last"), "passages")
     lists = (
-        found.join(recurring, F.col("leaf") == F.col("of_leaf"))
+        found.join(recurring, F.col("leaf") == F.col("of_leaf")).select("key", "leaf")
+        .unionByName(long.join(repeated, F.col("leaf") == F.col("of_leaf")).where("key <> first").select("key", "leaf"))
         .groupBy(F.col("key").alias("of_key"))
         .agg(F.collect_set("leaf").alias("known"))
     )
@@ -77,7 +94,7 @@ def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             kept, totals, drops = [], [], []
             for text, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 lines, known = (text or "").split("\n"), set(known or ())
-                out = [x for x in lines if known.isdisjoint(leaves(x))] if known else lines
+                out = [x for x in lines if known.isdisjoint(leaves(x)) and passage(x) not in known] if known else lines
                 kept.append(None if text is None else "\n".join(out))
                 totals.append(sum(bool(x.split()) for x in lines))
                 drops.append(len(lines) - len(out))

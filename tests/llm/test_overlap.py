@@ -144,6 +144,25 @@ def test_recurring_templates_go(spark):
     assert drop_template_lines(corpus.empty(spark)).count() == 0
 
 
+def test_repeated_passages_stay_once(spark):
+    rng = random.Random(8)
+    passages = [corpus.words(rng, n) for n in (49, 50, 60, 200)]
+    rows = [(i, "\n".join([corpus.words(rng, 12), *passages[: 1 + i], corpus.words(rng, 60)])) for i in range(4)]
+    rows += [(4, rows[3][1]), (5, passages[3] + " "), (6, passages[2].replace(" ", " 7 ", 1)), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in drop_template_lines(docs.repartition(3)).collect()]
+    assert sorted(r[0] for r in got) == list(range(8))
+    text = {r[0]: (r[1] or "").split("\n") for r in got}
+    assert text[3] == text[4] and text[6] == rows[6][1].split("\n")
+    for p, holders in zip(passages, ([0, 1, 2, 3], [1, 2, 3], [2, 3], [3, 5]), strict=True):
+        left = [i for i in holders if p in [x.strip() for x in text[i]]]
+        assert left == holders if len(p.split()) < 50 else len(left) == 1
+    for i, t in rows[:4]:
+        lines = t.split("\n")
+        assert {lines[0], lines[-1]} <= set(text[i])
+    assert all(n - d == sum(bool(x) for x in text[i]) for i, _, n, d in got)
+
+
 def test_leaves():
     assert leaves(" \t") == () and len(leaves("a b c")) == 1 and len(leaves("a b c d e f g h i")) == 4
     assert leaves("at 12:01 x") == leaves(" at  99:59 x ") != leaves("at noon x")
