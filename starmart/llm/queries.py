@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.llm.bpe import token_counts
 from starmart.llm.common import crc_of_id, staged, table
+from starmart.llm.damage import damaged_turns, with_periodic_tails
 from starmart.llm.decontaminate import find_leaks
 from starmart.llm.jaccard import gram_links
 from starmart.llm.langid import language_of
 from starmart.llm.licenses import scan_licenses
 from starmart.llm.mixing import pareto_mix
 from starmart.llm.quality import document_statistics, score, train
+from starmart.llm.repair import conversation_key, repair, transcript_digests
+from starmart.llm.runs import collapse_runs
 from starmart.llm.substrings import digest, remove_repeats
 from starmart.llm.templates import drop_template_lines
 from starmart.llm.tokens import read_index, token_digest, write_tokens
@@ -24,6 +28,12 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("row")
 
@@ -75,6 +85,46 @@ def op10_log_templates(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.length(text).cast("long").alias("kept_chars"), F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_square_catching_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = collapse_runs(with_periodic_tails(table(spark, folder, "documents")))
+    # Greater length / period first, compared without division; then the smaller start and period.
+    greater = "(l, r) -> case {} else 0 end".format(
+        " ".join(
+            f"when {a} < {b} then -1 when {a} > {b} then 1"
+            for a, b in (("r.length * l.period", "l.length * r.period"), ("l.start", "r.start"), ("l.period", "r.period"))
+        )
+    )
+    best = found.withColumn("best", F.expr(f"get(array_sort(runs, {greater}), 0)"))
+    listed = F.transform("runs", lambda run: F.concat_ws(",", *[run[x].cast("string") for x in ("start", "length", "period")]))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{x}").alias(x) for x in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_heap_merge_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), byte_vocabulary())
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations")
+    made = repair(damaged_turns(given))
+    whole = given.select("conv_id").distinct().withColumn("of_key", conversation_key("conv_id"))
+    digests = transcript_digests(made.turns).withColumnRenamed("key", "hash_key")
+    met = whole.join(made.audits, F.col("of_key") == F.col("key"), "left").join(digests, F.col("of_key") == F.col("hash_key"), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return met.select(
+        "conv_id",
+        *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_pareto_mix": op2_pareto_mix,
@@ -86,6 +136,9 @@ QUERIES = {
     "op8_prefix_tree_jaccard": op8_prefix_tree_jaccard,
     "op9_quadratic_discriminant": op9_quadratic_discriminant,
     "op10_log_templates": op10_log_templates,
+    "op11_square_catching_runs": op11_square_catching_runs,
+    "op12_heap_merge_counts": op12_heap_merge_counts,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 

@@ -59,5 +59,5 @@ def test_stages_take_effect(spark):
 
 def test_every_operator_has_a_query():
     names = {name.split("_")[0] for name in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
