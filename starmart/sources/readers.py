@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.sources.quoted import quoted_records
+
 
 def read_csv(
     spark: SparkSession,
@@ -17,18 +20,30 @@ def read_csv(
 
     ``types`` are matched to the header by name (other columns are text), which reads one
     line instead of scanning the data for types; files whose header differs are refused.
-    ``infer`` scans the data for types instead. Files are split between tasks unless
-    ``multi_line`` is set, which line breaks inside quotes need: such a table
-    should come as many files, because each is then read by one task.
+    ``infer`` scans the data for types instead. Files are split between tasks, also with ``multi_line``, which line breaks inside
+    quotes need: the quotes of every byte range are counted first, one more pass over the text. Only
+    ``multi_line`` with ``infer`` reads each file by one task.
     """
+    if multi_line and not infer:
+        return _read_quoted(spark, path, types or {})
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if infer:
         return reader.option("inferSchema", True).csv(path)
     names = reader.csv(path).columns
-    known = types or {}
+    return reader.option("enforceSchema", False).schema(_schema(names, types or {})).csv(path)
+
+
+def _schema(names: list[str], types: dict[str, str]) -> str:
     quoted = {name: name.replace("`", "``") for name in names}
-    schema = ", ".join(f"`{quoted[name]}` {known.get(name, 'string')}" for name in names)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+    return ", ".join(f"`{quoted[name]}` {types.get(name, 'string')}" for name in names)
+
+
+def _read_quoted(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
+    names, records = quoted_records(spark, path)
+    if names is None:  # files without a line
+        return spark.createDataFrame([], _schema(list(types), types))
+    parsed = F.from_csv("record", _schema(names, types), {"escape": '"', "multiLine": "true"})
+    return records.select(parsed.alias("row")).select("row.*")
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -51,8 +51,8 @@ def write_csv_report(df: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str, bytes_per_file: int = 128 << 20) -> None:
     """CSV of any size with every field quoted, so that line breaks and quotes survive.
 
-    A multi-line file is read back by one task, so files are bounded: the mean size of a row, from a pass
-    over the columns, says how many rows make ``bytes_per_file``.
+    Files are bounded, for readers that read a file with line breaks in quotes by one task: the mean size of a row, from a
+    pass over the columns, says how many rows make ``bytes_per_file``.
     """
     mean = df.agg(F.avg(F.octet_length(F.to_csv(F.struct("*"))) + 2 * len(df.columns))).first()[0]
     rows_per_file = max(1, int(bytes_per_file / mean)) if mean else 1
