@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.bindings import extended
 from starmart.bindings.raw import load, raw_frame
 from starmart.functions import dates, measures, text
 from starmart.operators import aggregates, cleaning, joins, quality
@@ -726,3 +727,8 @@ def fact_sales(spark, folder):
         by_seller,
         by_day,
     )
+
+
+extended.register_all()
+for _build in extended.EXTENDED.values():
+    query(_build)

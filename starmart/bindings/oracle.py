@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from starmart.bindings import extended
 from starmart.bindings.raw import raw_sql
 from starmart.operators.quality import SPECS, QualitySpec
 
@@ -486,3 +487,6 @@ ORACLE = {
     ),
     "fact_sales": _FACT,
 }
+
+extended.register_all()
+ORACLE.update(extended.EXTENDED_SQL)

@@ -24,7 +24,7 @@ def trailing_sum(df: DataFrame, key: list[str], day: str, amount: str, days: int
 
     Rows become one per key and day before anything is ordered, so a task orders days, not rows. Rows without a day are left out.
     """
-    daily = df.where(F.col(day).isNotNull()).groupBy(*key, day).agg(money_sum(amount, "decimal").alias("_sum"))
+    daily = df.where(F.col(day).isNotNull()).groupBy(*key, day).agg(F.sum(F.col(amount).try_cast("decimal(18,2)")).alias("_sum"))
     frame = Window.partitionBy(*key).orderBy(F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))).rangeBetween(1 - days, 0)
     return daily.select(*key, day, F.col("_sum").cast("double").alias("revenue"), F.sum("_sum").over(frame).cast("double").alias("trailing"))
 
@@ -36,7 +36,7 @@ def running_total(df: DataFrame, key: list[str], ts: str, order: list[str], amou
     ordered bucket by bucket, in different tasks, and only one row per bucket is ordered over the whole key. Null amounts add nothing; rows without a
     time come first. ``order`` should make rows distinct; equal rows get the totals of some order among them.
     """
-    cents = F.col(amount).cast("decimal(18,2)")
+    cents = F.col(amount).try_cast("decimal(18,2)")
     placed = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts).cast("timestamp")))
     totals = placed.groupBy(*key, "_bucket").agg(F.sum(cents).alias("_total"))
     before = Window.partitionBy(*key).orderBy(F.col("_bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.functions.text import parse_value
 from starmart.sources.quoted import quoted_records
 
 
@@ -48,3 +49,11 @@ def _read_quoted(spark: SparkSession, path: str, types: dict[str, str]) -> DataF
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
+def with_raw_text(text: DataFrame, types: dict[str, str]) -> DataFrame:
+    """A table of text with its columns as values, and the text of each beside it as ``<name>_raw``, so that no unreadable value is lost."""
+    return text.withColumnsRenamed({name: f"{name}_raw" for name in types}).select(
+        *[parse_value(f"{c}_raw", types[c]).alias(c) if c in types else F.col(c) for c in text.columns],
+        *[f"{name}_raw" for name in types],
+    )
