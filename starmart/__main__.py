@@ -39,6 +39,10 @@ def parser() -> argparse.ArgumentParser:
     dimension.add_argument("table", choices=STAR[:-1])
     jobs.add_parser("fact", help="build the sales fact")
     jobs.add_parser("quality", help="report on all raw tables")
+    jobs.add_parser("malformed", help="report unreadable values of all raw tables")
+    jobs.add_parser("keys", help="report orphan and repeated keys of the cleaned tables")
+    merge = jobs.add_parser("merge-orders", help="bring loaded orders to the state of the raw file")
+    merge.add_argument("--delete-missing", action="store_true", help="the raw file is complete")
     mock = jobs.add_parser("mock", help="write made-up orders")
     mock.add_argument("--rows", type=int, default=500)
     mock.add_argument("--seed", type=int, default=1)
@@ -68,6 +72,9 @@ def run(options: argparse.Namespace, house: Warehouse) -> object:
         "dimension": lambda: house.build_dimension(options.table),
         "fact": house.build_fact,
         "quality": lambda: house.report_quality().show(100, truncate=False),
+        "malformed": lambda: house.report_malformed().show(100, truncate=False),
+        "keys": lambda: [report.show(100, truncate=False) for report in house.report_keys()] and None,
+        "merge-orders": lambda: house.merge_orders(options.delete_missing),
         "mock": lambda: house.write_mock_orders(options.rows, options.seed),
         "revenue": lambda: house.report_monthly_revenue(options.path).show(),
         "export": lambda: house.export_star(JdbcTarget(options.url, options.driver, options.connections)),

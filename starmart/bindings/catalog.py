@@ -696,7 +696,7 @@ def dim_seller(spark, folder):
 
 @query
 def dim_date(spark, folder):
-    return gold.dim_date(_silver_orders(spark, folder))
+    return gold.dim_date(silver.order_versions(raw_frame(spark, folder, "orders"), marks.START))
 
 
 @query

@@ -103,7 +103,8 @@ RAW = {
         "events",
         {
             "review_id": "nullif(event_id, 11)",
-            "order_id": "event_id",
+            # Several reviews per order, with different scores.
+            "order_id": "user_id",
             "review_score": "cast(floor(value / 20) as int)",
             "review_comment_title": "event_type",
             "review_comment_message": (

@@ -70,6 +70,11 @@ def orders(raw: DataFrame, mark: datetime) -> DataFrame:
     return finish_orders(cleaning.drop_exact_copies(new))
 
 
+def order_versions(raw: DataFrame, mark: datetime) -> DataFrame:
+    """The rows of ``orders`` with exact copies left in, for what copies can't change, such as the set of days."""
+    return finish_orders(after_mark(order_candidates(raw), "purchase_ts", mark))
+
+
 # Reviews -----------------------------------------------------------------------------
 
 REVIEW_STAMPS = {

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import timedelta
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.operators import keys
 from starmart.operators.aggregates import latest, monthly_revenue
-from starmart.operators.quality import SPECS, quality_report_all
+from starmart.operators.quality import SPECS, malformed_report, orphan_report_all, quality_report_all, repeated_keys_all
 from starmart.operators.synth import mock_orders
 from starmart.plans import gold, silver
 from starmart.session import run_together
 from starmart.sources import readers, schemas, writers
 from starmart.streaming import marks
 from starmart.streaming.incremental import LoadResult, load_increment
+from starmart.streaming.merge import merge_snapshot
 
 # Tables of the star in export order.
 STAR = ("dim_customer", "dim_product", "dim_seller", "dim_date", "dim_location", "fact_sales")
@@ -113,6 +115,20 @@ class Warehouse:
             lookback=lookback,
         )
 
+    def merge_orders(self, delete_missing: bool = False) -> dict[str, int]:
+        """Bring loaded orders to the state of the raw file: rows that changed after their first load, too.
+
+        Orders that the raw file doesn't hold stay, unless ``delete_missing`` says that it is complete. The mark stays.
+        """
+        return merge_snapshot(
+            self.spark,
+            silver.orders(self.read_raw("orders"), marks.START),
+            key=["order_id"],
+            target_path=self.silver_path("orders"),
+            partition_by=("year", "month"),
+            delete_missing=delete_missing,
+        )
+
     def rebuild_silver(self, table: str) -> int:
         rows, taken = writers.observed(REBUILT[table](self.read_raw(table)), f"silver_{table}")
         writers.overwrite_parquet(rows, self.silver_path(table))
@@ -174,6 +190,31 @@ class Warehouse:
         writers.overwrite_partitioned(report, self.quality_path, "table_name")
         return readers.read_parquet(self.spark, self.quality_path)
 
+    def report_malformed(self) -> DataFrame:
+        """Text in typed columns of the raw tables, and in their times, that is no value: one directory per table."""
+        parts = []
+        for table, columns in schemas.RAW_COLUMNS.items():
+            types = {c: kind for c, kind in columns.items() if kind != "string"} | schemas.TIMES.get(table, {})
+            if types:
+                text = readers.read_csv(
+                    self.spark,
+                    f"{self.raw}/{self.raw_names.get(table, table + '.csv')}",
+                    multi_line=table in self.multi_line_tables,
+                )
+                parts.append(malformed_report(text, types).withColumn("table_name", F.lit(table)))
+        path = f"{self.root}/quality_malformed"
+        writers.overwrite_partitioned(reduce(DataFrame.unionAll, parts), path, "table_name")
+        return readers.read_parquet(self.spark, path)
+
+    def report_keys(self) -> tuple[DataFrame, DataFrame]:
+        """Keys of the cleaned tables that find nothing on the other side of a join, and keys that would repeat rows."""
+        tables = {table: self.read_silver(table) for table in ("orders", "reviews", *REBUILT)}
+        made = []
+        for name, report in (("orphans", orphan_report_all(tables)), ("join_keys", repeated_keys_all(tables))):
+            writers.overwrite_parquet(report, f"{self.root}/quality_{name}")
+            made.append(readers.read_parquet(self.spark, f"{self.root}/quality_{name}"))
+        return made[0], made[1]
+
     def export_star(self, target: writers.JdbcTarget, tables: tuple[str, ...] = STAR) -> None:
         for table in tables:
             writers.overwrite_jdbc(self.read_gold(table), target, table)

@@ -79,6 +79,19 @@ RAW_COLUMNS = {
     },
 }
 
+# Text columns of the raw files that hold times.
+TIMES = {
+    "orders": {
+        "order_purchase_timestamp": "timestamp",
+        "order_approved_at": "timestamp",
+        "order_delivered_carrier_date": "timestamp",
+        "order_delivered_customer_date": "timestamp",
+        "order_estimated_delivery_date": "timestamp",
+    },
+    "order_items": {"shipping_limit_date": "timestamp"},
+    "reviews": {"review_creation_date": "timestamp", "review_answer_timestamp": "timestamp"},
+}
+
 # Tables whose free text may hold line breaks inside quotes.
 FREE_TEXT_TABLES = ("reviews",)
 

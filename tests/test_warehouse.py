@@ -133,3 +133,36 @@ def test_command_line(house):
     assert result.rows == 1 and result.mark == datetime(2018, 4, 3)
     assert command("silver", "customers") == 2
     assert command("dimension", "dim_customer") == 2
+
+
+def test_orders_that_change_after_their_load(house):
+    house.init_control()
+    assert house.load_orders().rows == 2
+    changed = [line.replace("o2,c2,shipped", "o2,c2,delivered") for line in ROWS["orders"] if not line.startswith("o1")]
+    moved = "o5,c1,created,2018-05-03 10:00:00,,,,"
+    path = f"{house.raw}/orders.csv"
+    with open(path, "w") as file:
+        file.write("\n".join([",".join(RAW_COLUMNS["orders"]), *changed, moved]) + "\n")
+    assert house.merge_orders() == {"delete": 1, "update_old": 1, "update_new": 1, "insert": 1}
+    found = {r["order_id"]: r["order_status"] for r in house.read_silver("orders").collect()}
+    assert found == {"o1": "delivered", "o2": "delivered", "o5": "created"}
+    assert run(parser().parse_args(["--root", house.root, "--raw", house.raw, "merge-orders", "--delete-missing"]), house) == {"delete": 1}
+    assert {r["order_id"] for r in house.read_silver("orders").collect()} == {"o2", "o5"}
+    assert house.load_orders().rows == 1  # the mark stays: what is newer is loaded, and what the merge wrote is not written twice
+    assert house.read_silver("orders").count() == 2
+
+
+def test_reports_on_malformed_values_and_keys(house):
+    with open(f"{house.raw}/order_items.csv", "a") as file:
+        file.write('o9,1.5,p1,s1,someday,"1,5",2\n')
+    found = {(r["table_name"], r["metric_name"]): (r["metric_value"], r["example"]) for r in house.report_malformed().where("metric_value > 0").collect()}
+    assert found == {
+        ("order_items", "malformed_order_item_id"): (1, "1.5"),
+        ("order_items", "malformed_price"): (1, "1,5"),
+        ("order_items", "malformed_shipping_limit_date"): (1, "someday"),
+    }
+    house.run_all()
+    orphans, repeated = house.report_keys()
+    assert {(r["table_name"], r["key_name"]): r["orphan_rows"] for r in orphans.where("orphan_rows > 0").collect()} == {}
+    assert {(r["table_name"], r["extra_rows"]) for r in repeated.collect() if r["extra_rows"]} == set()
+    assert orphans.count() == 7 and repeated.count() == 6
