@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,35 @@ def staged(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.staged_path = path
+    for kept in _RECORDS:
+        kept.append(path)
+    return made
+
+
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Adds the folders that are staged meanwhile to ``paths``, so that they can be removed when what was built on them is written."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.remove(paths)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for df in tables:
+        remove(df.sparkSession, df.staged_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import staged
+from starmart.llm.common import discard, staged
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,7 +20,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = staged(now, "links")
     state = _state(now)
     while True:
-        now = staged(_small_star(_large_star(now)), "links")
+        older, now = now, staged(_small_star(_large_star(now)), "links")
+        discard(older)
         before, state = state, _state(now)
         if state == before:
             return with_roots(now)
