@@ -1,14 +1,14 @@
 """Line dedup by a tree of log templates of fixed depth.
 
-The levels of the tree are the number of tokens of a line, its leading tokens, and the leaf: the line with its variable
-fields generalised. Tokens with a digit are variable everywhere. In lines of nine tokens and more a further field may
-vary, which lies in one third of the line: such a line has a leaf for each third left open beside
-the leaf with all tokens. A leaf that lines of many documents reach is a recurring template; lines under it are dropped.
-
-A line of fifty tokens and more that two different texts hold word for word is a repeated passage. It stays in
-one of the texts: copied documents share all their passages, and would lose them altogether.
-
-Leaves are hashes, so no leaf's lines are ever gathered: documents per leaf are partial sums.
+The levels of the tree are the number of tokens of a line and its leading tokens; tokens with a digit are variable fields everywhere.
+Under such a node a token at a further place is fixed if several texts have it there; all others are fields. A line with
+its fields taken out is its template. A template recurs if enough different texts hold a line of it: the more fixed tokens it
+has, the fewer texts it takes. Lines of a recurring template are dropped from all texts but one, so that nothing is lost that copied or
+quoting texts share.
+
+Lines of at most one third of fields are compared by template, and every line also as it stands (with fields only for digits), so a long passage that two
+texts quote is found whatever else begins like it. Leaves and nodes are hashes, counts of texts per leaf are partial sums, and
+only lines under nodes that several texts reach are taken apart into tokens.
 """
 
 from __future__ import annotations
@@ -21,80 +21,142 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import staged
+from starmart.llm.common import discard, staged
 
-LEADING = 3
-OPEN_FROM = 9
-#: Tokens from which a line that another text holds too is a repeated passage.
-PASSAGE_FROM = 50
+LEADING = 2
 FIELD = "<*>"
 _VARIABLE = re.compile(r"\S*\d\S*")
 
 
-def leaves(line: str) -> tuple[int, ...]:
-    """Hashes of the leaves of a line; none for a blank one."""
-    tokens = (_VARIABLE.sub(FIELD, line) if any(map(str.isdigit, line)) else line).split()
-    if not tokens:
-        return ()
-    n = len(tokens)
-    node = f"{n} {' '.join(tokens[:LEADING])}"
-    rest = tokens[LEADING:]
-    made = [f"{node}\n{' '.join(rest)}"]
-    if n >= OPEN_FROM:
-        cuts = [len(rest) * k // 3 for k in range(4)]
-        for k in range(3):
-            shut = " ".join(rest[: cuts[k]]) + f"\n{k}\n" + " ".join(rest[cuts[k + 1] :])
-            made.append(f"{node}\n{shut}")
-    return tuple(xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in made)
+def tokens_of(line: str) -> list[str]:
+    """Tokens of a line, those with a digit as fields."""
+    return (_VARIABLE.sub(FIELD, line) if any(map(str.isdigit, line)) else line).split()
+
+
+def hashed(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def leaf_of(tokens: list[str]) -> int:
+    return hashed("leaf\n" + " ".join(tokens))
+
+
+def node_of(tokens: list[str]) -> int:
+    return hashed(f"node {len(tokens)}\n" + " ".join(tokens[:LEADING]))
 
 
-def passage(line: str) -> int | None:
-    """Hash of the tokens of a long line as they are; None for a shorter one."""
-    tokens = line.split()
-    return xxhash.xxh3_64_intdigest("passage\n" + " ".join(tokens)) - (1 << 63) if len(tokens) >= PASSAGE_FROM else None
+def lines_of(text: str | None) -> Iterator[list[str]]:
+    """The tokens of each line that has any."""
+    return filter(None, map(tokens_of, text.split("\n"))) if text else iter(())
 
 
 def line_leaves(docs: DataFrame) -> DataFrame:
-    """key, leaves, passages: a number of each row's text, the distinct leaves of its lines and its long lines."""
+    """key, leaves, nodes, fixed: the distinct lines of each text, with their nodes and numbers of tokens that are no fields.
+
+    A text that stands in several rows is taken apart once per task.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            made = [list(dict.fromkeys(x for line in (t or "").split("\n") for x in leaves(line))) for t in batch.column(1).to_pylist()]
-            long = [list({p for line in (t or "").split("\n") if (p := passage(line)) is not None}) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(pa.int64())) for x in (made, long))], names=["key", "leaves", "passages"])
+            rows = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if key not in seen:
+                    seen.add(key)
+                    found = {leaf_of(t): (node_of(t), len(t) - t.count(FIELD)) for t in lines_of(text)}
+                    rows.append((key, list(found), [x[0] for x in found.values()], [x[1] for x in found.values()]))
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "leaves", "nodes", "fixed"])
 
-    return docs.select("key", "text").mapInArrow(work, "key long, leaves array<long>, passages array<long>")
+    return docs.select("key", "text").mapInArrow(work, "key long, leaves array<long>, nodes array<long>, fixed array<int>")
 
 
-def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_documents: int = 10) -> DataFrame:
+def taken_apart(docs: DataFrame) -> DataFrame:
+    """key, leaf, node, tokens: the lines of the nodes in ``wanted``, their tokens as hashes, 0 for fields. docs: key, text, wanted."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            rows = []
+            for key, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key in seen:
+                    continue
+                seen.add(key)
+                nodes = set(wanted)
+                found = {leaf_of(t): (node_of(t), t) for t in lines_of(text)}
+                rows += [(key, leaf, node, [0 if x == FIELD else hashed(x) for x in t]) for leaf, (node, t) in found.items() if node in nodes]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "leaf", "node", "tokens"])
+
+    return docs.select("key", "text", "wanted").mapInArrow(work, "key long, leaf long, node long, tokens array<long>")
+
+
+def recurring(held: DataFrame, leaf: str, evidence: int, least_texts: int) -> DataFrame:
+    """of_leaf, holder: leaves that enough texts hold, and the text that keeps its lines. held: key, leaf, fixed."""
+    counts = held.groupBy(F.col(leaf).alias("of_leaf")).agg(F.count_distinct("key").alias("texts"), F.min("key").alias("holder"), F.max("fixed").alias("fixed"))
+    return counts.where((F.col("texts") >= least_texts) & (F.col("texts") * F.col("fixed") >= evidence)).select("of_leaf", "holder")
+
+
+def templates_of(lines: DataFrame, several: int) -> DataFrame:
+    """key, leaf, template, fixed: the template of each line with fields beside its digits. lines: key, leaf, node, tokens."""
+    spread = lines.select("key", "leaf", "node", F.posexplode("tokens").alias("place", "token"))
+    fixed = (
+        spread.where((F.col("token") != 0) & (F.col("place") >= LEADING)).groupBy("node", "place", "token").agg(F.count_distinct("key").alias("texts"))
+        .where(F.col("texts") >= several).select(F.col("node").alias("of_node"), F.col("place").alias("of_place"), F.col("token").alias("of_token"))
+    )
+    # One row per token of the distinct lines of a node: the text doesn't matter any more.
+    once = spread.select("leaf", "node", "place", "token").distinct()
+    same = (F.col("node") == F.col("of_node")) & (F.col("place") == F.col("of_place")) & (F.col("token") == F.col("of_token"))
+    stays = (F.col("token") != 0) & ((F.col("place") < LEADING) | F.col("of_node").isNotNull())
+    shown = once.join(fixed, same, "left").select("leaf", "node", "place", "token", stays.alias("stays"))
+    made = shown.groupBy(F.col("leaf").alias("of_leaf"), "node").agg(
+        F.xxhash64(F.array_sort(F.collect_list(F.when(F.col("stays"), F.struct("place", "token"))))).alias("rest"),
+        F.count("*").alias("n"), F.count_if("stays").cast("int").alias("fixed"), F.count_if((F.col("token") != 0) & ~F.col("stays")).alias("opened"),
+    )
+    useful = made.where((F.col("opened") > 0) & ((F.col("n") - F.col("fixed")) * 3 <= F.col("n")))
+    return lines.select("key", "leaf").join(useful.select("of_leaf", F.xxhash64("node", "rest").alias("template"), "fixed"), F.col("leaf") == F.col("of_leaf")).drop("of_leaf")
+
+
+def drop_template_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", evidence: int = 60, several: int = 5
+) -> DataFrame:
     """doc_id, text, n_lines, n_dropped: one row per input row, its text without lines of recurring templates.
 
-    A template recurs if `least_documents` rows hold a line of it; repeated rows count each. A passage that different texts
-    hold stays in one of them, and in the rows with an equal text; within one text it is not compared. Lines end at a line
-    feed; blank lines are kept and not counted. A null text stays null and has no lines; ids may be null or repeat; other columns are ignored.
+    A template recurs if the number of different texts with a line of it, times its fixed tokens, reaches ``evidence``: two texts for a line of
+    thirty words, twelve for one of five and a field. Templates with fields need ``several`` texts, as does a fixed token. The text with the
+    smallest hash of those with the template keeps its lines, so none goes from its last text; equal texts count once and share their fate, and
+    within a text lines are not compared. Lines end at a line feed; blank lines are kept and not counted. A null text stays null and has no lines;
+    ids may be null or repeat; an empty table gives an empty table; other columns are ignored. Of a very long text a task holds some numbers per line.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # Rows are joined by their text, so equal texts share their list and ids do not matter.
     keyed = source.withColumn("key", F.xxhash64("text"))
     made = staged(line_leaves(keyed), "line-leaves")
-    found, long = (made.select("key", F.explode(x).alias("leaf")) for x in ("leaves", "passages"))
-    recurring = staged(found.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= least_documents).select(F.col("leaf").alias("of_leaf")), "templates")
-    held = long.groupBy(F.col("leaf").alias("of_leaf")).agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    repeated = staged(held.where("first <> last").drop("last"), "passages")
+    found = made.select("key", F.explode(F.arrays_zip("leaves", "nodes", "fixed")).alias("x")).select("key", F.col("x.leaves").alias("leaf"), F.col("x.nodes").alias("node"), F.col("x.fixed").alias("fixed"))
+    exact = staged(recurring(found, "leaf", evidence, 2), "line-recurring")
+
+    busy = found.groupBy(F.col("node").alias("of_node")).agg(F.count_distinct("key").alias("texts")).where(F.col("texts") >= several).select("of_node")
+    wanted = found.select("key", "node").distinct().join(busy, F.col("node") == F.col("of_node")).groupBy(F.col("key").alias("of_key")).agg(F.collect_set("node").alias("wanted"))
+    texts = keyed.select("key", "text").join(staged(wanted, "line-nodes"), F.col("key") == F.col("of_key"))
+    lines = staged(taken_apart(texts).dropDuplicates(["key", "leaf"]), "line-tokens")
+    general = staged(templates_of(lines, several), "line-templates")
+    varied = staged(recurring(general, "template", evidence, several), "line-recurring")
+
     lists = (
-        found.join(recurring, F.col("leaf") == F.col("of_leaf")).select("key", "leaf")
-        .unionByName(long.join(repeated, F.col("leaf") == F.col("of_leaf")).where("key <> first").select("key", "leaf"))
-        .groupBy(F.col("key").alias("of_key"))
-        .agg(F.collect_set("leaf").alias("known"))
-    )
-    met = keyed.join(staged(lists, "template-lines"), F.col("key") == F.col("of_key"), "left").select("doc_id", "text", "known")
+        found.join(exact, F.col("leaf") == F.col("of_leaf")).where("key <> holder").select("key", "leaf")
+        .unionByName(general.join(varied, F.col("template") == F.col("of_leaf")).where("key <> holder").select("key", "leaf"))
+        .groupBy(F.col("key").alias("of_key")).agg(F.collect_set("leaf").alias("known"))
+    )
+    dropped = staged(lists, "template-lines")
+    discard(made, exact, lines, general, varied)
+    met = keyed.join(dropped, F.col("key") == F.col("of_key"), "left").select("doc_id", "text", "known")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             kept, totals, drops = [], [], []
             for text, known in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                lines, known = (text or "").split("\n"), set(known or ())
-                out = [x for x in lines if known.isdisjoint(leaves(x)) and passage(x) not in known] if known else lines
+                lines, gone = (text or "").split("\n"), set(known or ())
+                out = [x for x in lines if not (t := tokens_of(x)) or leaf_of(t) not in gone] if gone else lines
                 kept.append(None if text is None else "\n".join(out))
                 totals.append(sum(bool(x.split()) for x in lines))
                 drops.append(len(lines) - len(out))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate
+from starmart.llm import decontaminate, templates
 from starmart.llm.components import components
 from starmart.llm.decontaminate import best_run, clean_documents, find_leaks, words_of
-from starmart.llm.templates import drop_template_lines, leaves
+from starmart.llm.templates import drop_template_lines
 from tests.llm import corpus
 
 
@@ -123,52 +125,129 @@ def test_empty_tables(spark):
     assert clean_documents(docs, bench.limit(0)).count() == docs.count()
 
 
-def test_recurring_templates_go(spark):
+def brute_lines(keyed, evidence=60, several=5):
+    """doc_id, text, lines, dropped by the rule itself. keyed: doc_id, text, key of the text."""
+    texts = {key: [templates.tokens_of(x) for x in (text or "").split("\n")] for _, text, key in keyed}
+    held, nodes, values = defaultdict(set), defaultdict(set), defaultdict(set)
+    for key, lines in texts.items():
+        for t in filter(None, lines):
+            node = (len(t), *t[:2])
+            held[tuple(t)].add(key)
+            nodes[node].add(key)
+            for i, x in enumerate(t):
+                values[node, i, x].add(key)
+
+    def template(t):
+        node = (len(t), *t[:2])
+        shown = [x if x != "<*>" and (i < 2 or len(values[node, i, x]) >= several) else None for i, x in enumerate(t)]
+        opened = any(x is None and y != "<*>" for x, y in zip(shown, t, strict=True))
+        return tuple(shown) if len(nodes[node]) >= several and opened and 3 * shown.count(None) <= len(t) else None
+
+    general = defaultdict(set)
+    for t, keys in held.items():
+        if template(list(t)):
+            general[template(list(t))] |= keys
+
+    def goes(t, key):
+        own, wide = held[tuple(t)], general.get(template(t), set())
+        fixed = len(t) - t.count("<*>")
+        if len(own) >= 2 and len(own) * fixed >= evidence and key != min(own):
+            return True
+        return len(wide) >= several and len(wide) * sum(x is not None for x in template(t) or ()) >= evidence and key != min(wide)
+
+    out = Counter()
+    for doc_id, text, key in keyed:
+        lines = (text or "").split("\n")
+        kept = [x for x, t in zip(lines, texts[key], strict=True) if not t or not goes(t, key)]
+        out[doc_id, None if text is None else "\n".join(kept), sum(map(bool, texts[key])), len(lines) - len(kept)] += 1
+    return out
+
+
+def dropped(docs, **options):
+    keyed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+    got = Counter(map(tuple, drop_template_lines(docs.repartition(3), **options).collect()))
+    assert got == brute_lines(keyed, **options)
+    return {(r[0], r[1]): r[3] for r in got}
+
+
+def test_recurring_templates_stay_in_one_text(spark):
     rng = random.Random(1)
+    names = [corpus.words(rng, 1) for _ in range(40)]
     rows = []
     for i in range(40):
         lines = [corpus.words(rng, 12), f"user u{i} logged in at 12:{i}", corpus.words(rng, 3)]
         if i % 2:
             lines.insert(1, "copyright notice of the site")
         if i < 12:
-            lines.append(f"the quick brown fox jumps over {corpus.words(rng, 1)} lazy dogs today again and again")
+            lines.append(f"session opened for {names[i]} by admin")
+        if i < 20:
+            lines.append(f"posted by {names[i]} on the board")
+        if i < 9:
+            lines.append(f"the quick {names[i]} fox jumps over {names[-i]} lazy dogs today")
         rows.append((i, "\n".join(lines), "leaf"))
     rows += [(100, None, "x"), (101, "", "x"), (102, "\n \n", "x"), (None, "copyright notice of the site", "x"), (5, rows[5][1], "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, leaf string")
-    got = {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in drop_template_lines(docs.repartition(3)).collect()}
-    for doc_id, text, _ in rows[:40]:
-        lines = text.split("\n")
-        kept = [x for x in lines if not x.startswith(("user", "copyright", "the quick"))]
-        assert (doc_id, "\n".join(kept), len(lines), len(lines) - len(kept)) in got
-    assert {(100, None, 0, 0), (101, "", 0, 0), (102, "\n \n", 0, 0), (None, "", 1, 1)} <= got
+    found = dropped(docs)
+    left = Counter(x.split()[0] for _, text in found for x in (text or "").split("\n") if x.startswith(("user", "copyright", "session", "posted", "the quick")))
+    assert left == {"user": 1, "copyright": 1, "session": 1, "posted": 1, "the": 1}
     assert drop_template_lines(corpus.empty(spark)).count() == 0
 
 
+def test_copies_lose_nothing(spark):
+    """Ten equal texts are one; a text whose lines others copy keeps them all or has them kept elsewhere."""
+    rng = random.Random(4)
+    text = "\n".join(corpus.words(rng, 30) for _ in range(3))
+    same = spark.createDataFrame([(i, text) for i in range(10)], "doc_id long, text string")
+    assert dropped(same) == {(i, text): 0 for i in range(10)}
+    near = [(i, f"{text}\n{corpus.words(rng, 9)}") for i in range(12)]
+    found = dropped(spark.createDataFrame(near, "doc_id long, text string"))
+    for line in text.split("\n"):
+        assert sum(line in t.split("\n") for _, t in found) == 1
+
+
+def test_random_lines_against_the_rule(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(80):
+        lines = []
+        for _ in range(rng.randint(0, 12)):
+            n = rng.choice((2, 4, 6, 9))
+            lines.append(" ".join([rng.choice("ab"), rng.choice("xy"), *(rng.choice(["p", "p", "q", "7", f"w{rng.choice('abcdefgh')}"]) for _ in range(n))][:n]))
+        rows.append((i, rng.choice(["\n", " \n"]).join(lines)))
+    docs = spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string")
+    for options in ({"evidence": 25, "several": 5}, {"evidence": 12, "several": 3}):
+        assert sum(dropped(docs, **options).values()) > 20
+
+
 def test_repeated_passages_stay_once(spark):
     rng = random.Random(8)
-    passages = [corpus.words(rng, n) for n in (49, 50, 60, 200)]
+    passages = [corpus.words(rng, n) for n in (25, 50, 60, 200)]
     rows = [(i, "\n".join([corpus.words(rng, 12), *passages[: 1 + i], corpus.words(rng, 60)])) for i in range(4)]
     rows += [(4, rows[3][1]), (5, passages[3] + " "), (6, passages[2].replace(" ", " 7 ", 1)), (7, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [tuple(r) for r in drop_template_lines(docs.repartition(3)).collect()]
-    assert sorted(r[0] for r in got) == list(range(8))
-    text = {r[0]: (r[1] or "").split("\n") for r in got}
+    found = dropped(docs)
+    text = {i: (t or "").split("\n") for i, t in found}
     assert text[3] == text[4] and text[6] == rows[6][1].split("\n")
     for p, holders in zip(passages, ([0, 1, 2, 3], [1, 2, 3], [2, 3], [3, 5]), strict=True):
-        left = [i for i in holders if p in [x.strip() for x in text[i]]]
-        assert left == holders if len(p.split()) < 50 else len(left) == 1
-    for i, t in rows[:4]:
-        lines = t.split("\n")
-        assert {lines[0], lines[-1]} <= set(text[i])
-    assert all(n - d == sum(bool(x) for x in text[i]) for i, _, n, d in got)
-
-
-def test_leaves():
-    assert leaves(" \t") == () and len(leaves("a b c")) == 1 and len(leaves("a b c d e f g h i")) == 4
-    assert leaves("at 12:01 x") == leaves(" at  99:59 x ") != leaves("at noon x")
-    one, two = leaves("a b c d e f g h i"), leaves("a b c d E f g h i")
-    assert len(set(one) & set(two)) == 1
-    assert not set(one) & set(leaves("a b x d e f g h i"))
+        left = {text[i][0] for i in holders if p in [x.strip() for x in text[i]]}
+        assert len(left) == 1
+
+
+def test_no_text_is_emptied_whose_lines_stand_nowhere_else(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = dropped(docs)
+    held = defaultdict(set)
+    given = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for text in given.values():
+        for line in text.split("\n"):
+            held[tuple(templates.tokens_of(line))].add(text)
+    emptied = [i for (i, text), n in found.items() if n and not (text or "").strip()]
+    assert sum(found.values()) > 100
+    for i in emptied:
+        assert all(len(held[t]) > 1 for x in given[i].split("\n") if (t := tuple(templates.tokens_of(x))))
+    # Some text still has each line of the emptied ones.
+    left = {tuple(templates.tokens_of(x)) for _, text in found for x in (text or "").split("\n")}
+    assert all(tuple(templates.tokens_of(x)) in left for i in emptied for x in given[i].split("\n"))
 
 
 def test_components(spark):
