@@ -134,11 +134,12 @@ def pareto_mix(
     return closed(marked)
 
 
-def closed(marked: DataFrame, turns: int = 3) -> DataFrame:
-    """Add to each source's sample the unsampled document whose size comes nearest to the words still open, `turns` times.
+def closed(marked: DataFrame, turns: int = 5) -> DataFrame:
+    """Add to each source's sample the largest unsampled document that fits in the words still open, `turns` times.
 
-    A long document at the cut may leave much open; each turn takes one document a source, and only if
-    it brings the sample nearer.
+    A long document at the cut may leave much open. Each turn takes one document a source; where none fits, one that is too long is
+    taken if it brings the sample nearer. These documents are chosen by size and not by rank, wherever in the rank they stand: the sample's
+    inclusion probabilities hold up to `turns` documents a source.
     """
     for turn in range(turns):
         gap = F.col("need") - F.col("got")
@@ -153,7 +154,7 @@ def closed(marked: DataFrame, turns: int = 3) -> DataFrame:
         pick = (
             near.where(F.abs(gap - F.col("size")) < F.abs(gap))
             .groupBy(F.col("source").alias(of))
-            .agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("off"), "rank", "size", "doc_id")).alias(name))
+            .agg(F.min(F.struct((F.col("size") > gap).alias("over"), F.abs(gap - F.col("size")).alias("off"), "rank", "size", "doc_id")).alias(name))
         )
         marked = marked.join(staged(pick, "mix-close"), marked["source"].eqNullSafe(F.col(of)), "left")
         chosen = F.coalesce(

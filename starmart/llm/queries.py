@@ -145,16 +145,16 @@ QUERIES = {
 def _mix_sql() -> str:
     """The mix by whole windows, one step after the other, in the same arithmetic."""
     closing, last = "", "drawn"
-    for turn in range(3):
+    for turn in range(5):
         closing += f"""
     got{turn} as (select source, sum(case when kept then size else 0 end) as got from {last} group by source),
     pick{turn} as (
-        select t.source, min(row(abs(need - got - size), "rank", size, doc_id)) as pick
+        select t.source, min(row(size > need - got, abs(need - got - size), "rank", size, doc_id)) as pick
         from {last} t join got{turn} g on t.source is not distinct from g.source
         where not kept and p > 0 and size > 0 and abs(need - got - size) < abs(need - got) group by t.source
     ),
     kept{turn} as (
-        select t.* exclude (kept), kept or coalesce(row("rank", size, doc_id) = row(pick[2], pick[3], pick[4]), false) as kept
+        select t.* exclude (kept), kept or coalesce(row("rank", size, doc_id) = row(pick[3], pick[4], pick[5]), false) as kept
         from {last} t left join pick{turn} k on t.source is not distinct from k.source
     ),"""
         last = f"kept{turn}"
