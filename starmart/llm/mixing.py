@@ -141,6 +141,9 @@ def closed(marked: DataFrame, turns: int = 5) -> DataFrame:
     taken if it brings the sample nearer. These documents are chosen by size and not by rank, wherever in the rank they stand: the sample's
     inclusion probabilities hold up to `turns` documents a source.
     """
+    # Written once, so that no turn plans the ranking again.
+    wanted = ("doc_id", "source", "size", "source_size", "target", "sure", "p", "need", "rank", "in_sample")
+    marked = staged(marked.select(marked["doc_id"], marked["source"], *wanted[2:]), "mix-marked")
     for turn in range(turns):
         gap = F.col("need") - F.col("got")
         got = (

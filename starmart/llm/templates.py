@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,6 +26,8 @@ from starmart.llm.common import discard, staged
 
 LEADING = 2
 FIELD = "<*>"
+#: Bits of a node's hash by which lines are chosen that are taken apart into tokens.
+SLOT_BITS = 22
 _VARIABLE = re.compile(r"\S*\d\S*")
 
 
@@ -71,24 +74,40 @@ def line_leaves(docs: DataFrame) -> DataFrame:
     return docs.select("key", "text").mapInArrow(work, "key long, leaves array<long>, nodes array<long>, fixed array<int>")
 
 
-def taken_apart(docs: DataFrame) -> DataFrame:
-    """key, leaf, node, tokens: the lines of the nodes in ``wanted``, their tokens as hashes, 0 for fields. docs: key, text, wanted."""
+def busy_slots(nodes: DataFrame) -> np.ndarray:
+    """Whether any of the nodes (column ``of_node``) has a hash with these first SLOT_BITS bits. At most 2^SLOT_BITS numbers reach the driver."""
+    slots = np.zeros(1 << SLOT_BITS, dtype=bool)
+    found = nodes.select(F.shiftrightunsigned("of_node", 64 - SLOT_BITS).cast("int").alias("slot")).distinct().toArrow()
+    slots[found.column("slot").to_numpy()] = True
+    return slots
+
+
+def taken_apart(docs: DataFrame, slots: np.ndarray) -> DataFrame:
+    """key, leaf, node, tokens: the lines whose node has its slot set, their tokens as hashes, 0 for fields. docs: key, text.
+
+    Other nodes with the same slot come along; they have too few texts for a template.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(slots)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         seen: set[int] = set()
+        busy = shared.value
         for batch in batches:
             rows = []
-            for key, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if key in seen:
                     continue
                 seen.add(key)
-                nodes = set(wanted)
-                found = {leaf_of(t): (node_of(t), t) for t in lines_of(text)}
-                rows += [(key, leaf, node, [0 if x == FIELD else hashed(x) for x in t]) for leaf, (node, t) in found.items() if node in nodes]
+                found = {}
+                for t in lines_of(text):
+                    node = node_of(t)
+                    if busy[(node & (1 << 64) - 1) >> 64 - SLOT_BITS]:
+                        found[leaf_of(t)] = node, t
+                rows += [(key, leaf, node, [0 if x == FIELD else hashed(x) for x in t]) for leaf, (node, t) in found.items()]
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "leaf", "node", "tokens"])
 
-    return docs.select("key", "text", "wanted").mapInArrow(work, "key long, leaf long, node long, tokens array<long>")
+    return docs.select("key", "text").mapInArrow(work, "key long, leaf long, node long, tokens array<long>")
 
 
 def recurring(held: DataFrame, leaf: str, evidence: int, least_texts: int) -> DataFrame:
@@ -136,9 +155,7 @@ def drop_template_lines(
     exact = staged(recurring(found, "leaf", evidence, 2), "line-recurring")
 
     busy = found.groupBy(F.col("node").alias("of_node")).agg(F.count_distinct("key").alias("texts")).where(F.col("texts") >= several).select("of_node")
-    wanted = found.select("key", "node").distinct().join(busy, F.col("node") == F.col("of_node")).groupBy(F.col("key").alias("of_key")).agg(F.collect_set("node").alias("wanted"))
-    texts = keyed.select("key", "text").join(staged(wanted, "line-nodes"), F.col("key") == F.col("of_key"))
-    lines = staged(taken_apart(texts).dropDuplicates(["key", "leaf"]), "line-tokens")
+    lines = staged(taken_apart(keyed, busy_slots(busy)).dropDuplicates(["key", "leaf"]), "line-tokens")
     general = staged(templates_of(lines, several), "line-templates")
     varied = staged(recurring(general, "template", evidence, several), "line-recurring")
 
