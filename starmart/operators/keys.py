@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Hexadecimal digits of the digest that name a bucket: 2 give 256 buckets, 4 give 65,536, for tables of billions of keys.
 DIGITS = 2
 
 
-def _bucket(business: list[str]) -> Column:
-    """The first digits of a digest of the business key: 256 even buckets that no sample decides."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in business])
-    return F.substring(F.md5(text.cast("binary")), 1, DIGITS)
+def _digest(names: list[str]) -> Column:
+    text = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names])
+    return F.md5(text.cast("binary"))
+
+
+def _bucket(business: list[str], every: list[str], digits: int) -> Column:
+    """The first digits of a digest of the business key, or of the whole row where it has none: even buckets that no sample decides."""
+    missing = reduce(and_, [F.col(name).isNull() for name in business])
+    return F.substring(F.when(missing, _digest(every)).otherwise(_digest(business)), 1, digits)
 
 
-def numbered(df: DataFrame, key: str, business: list[str], first: int = 0) -> DataFrame:
+def numbered(df: DataFrame, key: str, business: list[str], first: int = 0, digits: int = DIGITS) -> DataFrame:
     """Number the rows ``first``, ``first`` + 1, ... by bucket, then business key, then the other columns.
 
-    A plan and nothing else: buckets are numbered side by side, and one row count per bucket says
+    A plan and nothing else: 16^``digits`` buckets are numbered side by side, and one row count per bucket says
     where each begins. The result depends on the rows alone, so a task that runs again
     gives the same keys; equal rows are interchangeable.
     """
     names = df.columns
     rest = [name for name in names if name not in business]
-    placed = df.withColumn("_bucket", _bucket(business))
+    placed = df.withColumn("_bucket", _bucket(business, names, digits))
     counts = placed.groupBy("_bucket").agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_start"))

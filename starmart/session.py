@@ -40,11 +40,17 @@ _CHOICE = threading.Lock()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; where it is unset, one in the warehouse, which is shared too."""
+    """The folder that spark.checkpoint.dir names; where it is unset, one in the warehouse.
+
+    On a cluster the warehouse must have been named too: its default is a folder of the driver's own machine.
+    """
     context = spark.sparkContext
     with _CHOICE:
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
         if named is None:
+            alone = context.master.startswith("local") and not context.master.startswith("local-cluster")
+            if not alone and not context.getConf().contains("spark.sql.warehouse.dir"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
             named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(named)

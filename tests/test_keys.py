@@ -48,3 +48,12 @@ def test_known_keys_stay_when_business_keys_are_added(spark):
     kept = {tuple(r)[1:]: r["key"] for r in after.collect()}
     assert len(kept) == 55 and all(kept[row] == key for row, key in before.items())
     assert after.agg(F.countDistinct("key")).first()[0] == 55
+
+
+def test_rows_without_a_business_key_are_spread_over_buckets(spark):
+    df = keyed(spark, [(None, f"n{i}") for i in range(500)] + [("a", "x")])
+    for digits in (1, 2, 4):
+        made = numbered(df, "key", BUSINESS, digits=digits)
+        assert sorted(r["key"] for r in made.collect()) == list(range(501))
+    names = [r["name"] for r in made.where("id is null").orderBy("key").collect()]
+    assert names != sorted(names)

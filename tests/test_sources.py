@@ -144,3 +144,20 @@ def test_jdbc_options_take_credentials_from_the_environment(monkeypatch):
     assert options["dbtable"] == "fact_sales" and options["truncate"] == "true"
     assert options["user"] == "me" and "password" not in options
     assert "STARMART_JDBC_PASSWORD" not in os.environ
+
+
+def test_a_cluster_needs_a_named_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from starmart import session
+
+    def session_of(master, **conf):
+        held = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        held.getConf = lambda: SimpleNamespace(contains=lambda key: key in conf)
+        values = {"spark.sql.warehouse.dir": "/made/up"}
+        return SimpleNamespace(sparkContext=held, conf=SimpleNamespace(get=lambda key, *other: values.get(key, *other)))
+
+    assert session.shared_folder(session_of("local[2]")) == "/made/up/_shared"
+    assert session.shared_folder(session_of("yarn", **{"spark.sql.warehouse.dir": "x"})) == "/made/up/_shared"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(session_of("spark://host:7077"))
