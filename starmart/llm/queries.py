@@ -144,20 +144,6 @@ QUERIES = {
 
 def _mix_sql() -> str:
     """The mix by whole windows, one step after the other, in the same arithmetic."""
-    closing, last = "", "drawn"
-    for turn in range(5):
-        closing += f"""
-    got{turn} as (select source, sum(case when kept then size else 0 end) as got from {last} group by source),
-    pick{turn} as (
-        select t.source, min(row(size > need - got, abs(need - got - size), "rank", size, doc_id)) as pick
-        from {last} t join got{turn} g on t.source is not distinct from g.source
-        where not kept and p > 0 and size > 0 and abs(need - got - size) < abs(need - got) group by t.source
-    ),
-    kept{turn} as (
-        select t.* exclude (kept), kept or coalesce(row("rank", size, doc_id) = row(pick[3], pick[4], pick[5]), false) as kept
-        from {last} t left join pick{turn} k on t.source is not distinct from k.source
-    ),"""
-        last = f"kept{turn}"
     return rf"""
     with sized as (
         select doc_id, source,
@@ -179,29 +165,87 @@ def _mix_sql() -> str:
     judged as (select *, source_size * 3::double <= weight * level as capped from levels),
     plan as (
         select source, source_size, case when capped then source_size * 3::double
-            else weight * (select level from judged where not capped order by reach, level limit 1) end as target
+            else weight * (select level from judged where not capped order by reach, weight, source nulls last limit 1) end as target
         from judged
     ),
     rated as (
-        select *, case when source_size > 0 then target / source_size else 0::double end as rate,
-            least(floor(case when source_size > 0 then target / source_size else 0::double end), 3)::bigint as sure
+        select *, least(floor(case when source_size > 0 then target / source_size else 0::double end), 3)::bigint as sure
         from plan
     ),
+    wanted as (select *, greatest(target - sure * source_size, 0::double) as need from rated),
+    classes as (
+        select source, floor(sqrt(size::double))::bigint as measure, sum(size)::bigint as words from sized group by all
+    ),
+    judged_classes as (
+        select c.source, measure, words, need, source_size, target, sure,
+            measure > 0 and measure::double * (need - coalesce(sum(words) over (w rows between unbounded preceding and 1 preceding), 0)::double)
+                >= (sum(words * measure) over (w rows between current row and unbounded following))::double as certain
+        from classes c join wanted p on c.source is not distinct from p.source
+        window w as (partition by c.source order by measure desc)
+    ),
     chances as (
-        select s.doc_id, s.source, s.size, source_size, target, sure, greatest(rate - sure, 0::double) as p,
-            target - sure * source_size as need,
+        select *, case when measure = 0 then 0::double when certain then 1::double else least(1::double, measure::double * (
+            (need - (sum(case when certain then words else 0 end) over (partition by source))::double)
+            / (sum(case when certain then 0 else words * measure end) over (partition by source))::double)) end as p
+        from judged_classes
+    ),
+    drawn as (
+        select s.doc_id, s.source, s.size, source_size, target, sure, need, p,
             (('0x' || md5('17:' || s.doc_id)[1:12])::bigint::double + 0.5::double) / 281474976710656::double as u
-        from sized s join rated r on s.source is not distinct from r.source
+        from sized s join chances c on s.source is not distinct from c.source and floor(sqrt(s.size::double))::bigint = c.measure
     ),
     ranked as (
-        select *, case when p > 0 then (u / (1 - u)) * ((1 - p) / p) end as "rank" from chances
+        select *, case when p > 0 then row((u / (1 - u)) * ((1 - p) / p), size, doc_id::varchar) end as k from drawn
     ),
-    drawn as (
-        select *, p > 0 and sum(size) over (partition by source order by "rank", size, doc_id
-            rows between unbounded preceding and current row) <= need as kept
-        from ranked
-    ),{closing}
-    done as (select *, sure + kept::bigint as copies from {last})
+    walk1 as (select *, sum(size) over (partition by source order by k) as upto from ranked where p > 0),
+    edge1 as (
+        select source, min(case when upto > need then k end) as edge1,
+            any_value(need) - coalesce(sum(case when upto <= need then size end), 0)::double as open
+        from walk1 group by source
+    ),
+    first as (
+        select r.*, edge1, open, p > 0 and (edge1 is null or k < edge1) as taken1,
+            coalesce(p > 0 and k > edge1 and r.size <= open, false) as later
+        from ranked r left join edge1 e on r.source is not distinct from e.source
+    ),
+    walk2 as (select *, sum(size) over (partition by source order by k) as upto from first where later),
+    edge2 as (
+        select source, min(case when upto > open then k end) as edge2, coalesce(sum(case when upto <= open then size end), 0) as got2
+        from walk2 group by source
+    ),
+    both_walks as (
+        select f.*, coalesce(got2, 0)::double as got2, taken1 or (later and (edge2 is null or k < edge2)) as kept
+        from first f left join edge2 e on f.source is not distinct from e.source
+    ),
+    units as (
+        select source, kept, k, any_value(size) as size, open, open - got2 as goal, sum(size)::bigint as words
+        from both_walks where p > 0 and (not kept or p < 1) group by source, kept, k, open, got2
+    ),
+    near as (
+        select * from (
+            select *, row_number() over (partition by source, kept order by case when not kept then size > open end,
+                case when kept then -k[1] else k[1] end, case when kept then -size else size end, k[3]) as nth
+            from units
+        ) where nth <= case when kept then 4 else 8 end
+    ),
+    pool as (
+        select *, row_number() over (partition by source order by k) - 1 as i, count(*) over (partition by source) as n,
+            goal + (sum(case when kept then words else 0 end) over (partition by source))::double as aim
+        from near
+    ),
+    masks as (
+        select source, aim, mask, sum(case when (mask >> i) & 1 = 1 then words else 0 end)::double as total,
+            sum(case when ((mask >> i) & 1 = 1) <> kept then 1 else 0 end) as changed
+        from pool join range(0, 4096) t(mask) on mask < (1 << n::int) group by source, aim, mask
+    ),
+    best as (select source, min(row(abs(aim - total), changed, mask))[3] as mask from masks group by source),
+    flips as (
+        select p.source, k from pool p join best b on p.source is not distinct from b.source where ((mask >> i) & 1 = 1) <> kept
+    ),
+    done as (
+        select d.*, sure + (kept <> (f.k is not null))::bigint as copies
+        from both_walks d left join flips f on d.source is not distinct from f.source and d.k = f.k
+    )
     select doc_id, size, source_size, target, (copies * size)::bigint as taken, copies::bigint as copies from done"""
 
 
