@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import map_batches
 
+SALTS = 32
 BUCKETS = 2048
 MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917], dtype=np.uint32)
 UNKNOWN = "und"
@@ -127,8 +128,12 @@ def fit(
     )
     idf = inverse_frequencies(train)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Ids first, so that the ranking moves no text; the window keeps per_language rows before its shuffle.
-    first = train.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
+    # Ids first, so that the ranking moves no text. A language is ranked in SALTS parts and then as a whole, so the last
+    # ranking gets at most SALTS * per_language rows of it, however many tasks read the corpus.
+    part = Window.partitionBy("lang", "part").orderBy(F.xxhash64("doc_id"), "doc_id")
+    parts = train.select("doc_id", "lang", F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("part"))
+    leading = parts.withColumn("nth", F.row_number().over(part)).where(F.col("nth") <= per_language).select("doc_id", "lang")
+    first = leading.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language)
     wanted = first.orderBy("nth", "lang").limit(max_sample).select(F.col("doc_id").alias("sample_id")).distinct()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
