@@ -2,16 +2,19 @@
 
 Vectors are cut in two halves with a codebook each; the product of both codebooks is a grid of cells. A
 vector is stored in the cell of its two nearest codes and visits cells in the order of the sum of the
-distances of its halves to both codes (the multi-sequence order) until the target recall is reached: up to
-the excess over its own cell that was calibrated on pairs which lie exactly at the threshold. In a visited
-cell all stored vectors are compared by cosine in double precision.
+distances of its halves to both codes (the multi-sequence order: a heap over both sorted lists of codes) until the target
+recall is reached: up to the excess over its own cell that was calibrated on pairs which lie exactly at the threshold. In a
+visited cell all stored vectors are compared by cosine in double precision.
 
-Equal vectors are one class and are compared once. A cell with many vectors is cut into chunks. What leaves a
-chunk is one row per vector that has links there (how many, and one member of its group), never all pairs.
+Equal vectors are one class and are compared once. Neighbouring cells of one left code stand on a shelf, and a vector
+is sent once to each shelf with the cells that it visits there, not once per cell. A shelf with many vectors is cut into
+chunks. What leaves a chunk is one row per vector that has links there (how many, and one member of its group), never all pairs.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,21 +22,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import map_batches, staged
+from starmart.llm.common import discard, map_batches, staged
 from starmart.llm.components import components
 
 PER_CELL = 16
-CHUNK = 2048
+#: Vectors stored on a shelf, or fewer if they take more than SHELF_BYTES as doubles.
+SHELF, SHELF_BYTES = 16_384, 16 << 20
+#: Rows that are compared at once.
+SLICE = 1024
 SAMPLE = 20_000
+#: Codes of a half; the grid has at most its square (about a million) of cells, whose counts the driver holds.
 MOST_CODES = 1024
 
 
 def packed(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values, dtype="<f8").tobytes()
-
-
-def unit(rows: list[bytes]) -> np.ndarray:
-    data = np.frombuffer(b"".join(rows), dtype="<f8").reshape(len(rows), -1)
+    """Components as single floats if all of them are such, else as doubles."""
+    with np.errstate(over="ignore"):
+        single = values.astype("<f4")
+    return (single if (single == values).all() else values.astype("<f8")).tobytes()
+
+
+def unit(rows: list[bytes], size: int) -> np.ndarray:
+    """Vectors of length 1 of packed rows with `size` components."""
+    short = np.array([len(r) == 4 * size for r in rows], dtype=bool)
+    data = np.empty((len(rows), size))
+    for kind, chosen in (("<f4", short), ("<f8", ~short)):
+        at = np.flatnonzero(chosen)
+        data[at] = np.frombuffer(b"".join(rows[i] for i in at), dtype=kind).reshape(at.size, size)
     return data / np.linalg.norm(data, axis=1, keepdims=True)
 
 
@@ -69,7 +84,9 @@ def k_means(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int =
         np.add.at(total, near, points)
         count = np.bincount(near, minlength=k)
         codes[count > 0] = total[count > 0] / count[count > 0, None]
-    return codes
+    # Near codes get near numbers, so that the cells that a vector visits share shelves.
+    axis = np.linalg.svd(codes - codes.mean(axis=0), full_matrices=False)[2][0]
+    return codes[np.argsort(codes @ axis, kind="stable")]
 
 
 @dataclass(frozen=True)
@@ -118,17 +135,51 @@ class MultiIndex:
         return np.argmin(over[0], axis=1), np.argmin(over[1], axis=1)
 
     def visits(self, over: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-        """Cells (left * codes + right) of each vector in multi-sequence order."""
-        out = []
+        """Cells (left * codes + right) of each vector in multi-sequence order, up to the excess."""
+        width, out = len(self.right), []
         for left, right in zip(*over, strict=True):
-            i = np.flatnonzero(left <= self.excess)
-            sums = left[i, None] + right[None, :]
-            a, j = np.nonzero(sums <= self.excess)
-            order = np.argsort(sums[a, j], kind="stable")
-            out.append((i[a] * len(right) + j)[order])
+            sides = []
+            for far in (left, right):
+                near = np.flatnonzero(far <= self.excess)
+                near = near[np.argsort(far[near], kind="stable")]
+                sides.append((near.tolist(), far[near].tolist()))
+            (i_of, x), (j_of, y) = sides
+            cells: list[int] = []
+            heap = [(x[0] + y[0], 0, 0)]
+            while heap and heap[0][0] <= self.excess:
+                _, i, j = heapq.heappop(heap)
+                cells.append(i_of[i] * width + j_of[j])
+                # Each place has one parent: the one above it in the first column, else the one before it.
+                if j + 1 < len(y):
+                    heapq.heappush(heap, (x[i] + y[j + 1], i, j + 1))
+                if j == 0 and i + 1 < len(x):
+                    heapq.heappush(heap, (x[i + 1] + y[0], i + 1, 0))
+            out.append(np.array(cells, dtype=np.int32))
         return out
 
 
+@dataclass(frozen=True)
+class Shelves:
+    """Which shelf each cell stands on (-1: no vector is stored in the cell), and the chunks of each shelf."""
+
+    of_cell: np.ndarray
+    chunks: np.ndarray
+
+    @classmethod
+    def of(cls, counts: np.ndarray, width: int, most: int) -> Shelves:
+        """counts: vectors stored in each cell. Cells of one left code, in order, until `most` vectors are together."""
+        grid = counts.reshape(-1, width)
+        nth = (np.cumsum(grid, axis=1) - grid) // most
+        used = np.flatnonzero(counts)
+        keys = np.stack([used // width, nth.reshape(-1)[used]], axis=1)
+        _, numbers = np.unique(keys, axis=0, return_inverse=True)
+        of_cell = np.full(counts.size, -1, dtype=np.int32)
+        of_cell[used] = numbers.reshape(-1)
+        stored = np.zeros(int(of_cell.max(initial=-1)) + 1, dtype=np.int64)
+        np.add.at(stored, of_cell[used], counts[used])
+        return cls(of_cell, -(-stored // (2 * most)))
+
+
 def local_groups(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest id that rows and columns of a 0/1 block of links reach inside it."""
     none = np.iinfo(np.int64).max
@@ -147,53 +198,89 @@ def local_groups(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[
     return a, b
 
 
-def compare(index: MultiIndex, least: float):
-    """Function over batches of (cell, chunk, probe, cls, n, own, data), sorted: stored rows of a chunk come before its probes."""
+def compare(index: MultiIndex, least: float, size: int):
+    """Function over batches of (shelf, chunk, probe, cls, n, own, cells, data), sorted: rows stored in a chunk come before those that only visit it."""
+    width = len(index.right)
+
+    def shelved(parts: list[tuple]) -> dict[int, tuple]:
+        """By cell: cls, n and vectors stored in it, their halves, and their distances to their nearest codes."""
+        cls, n, own, _, _, data = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(own, kind="stable")
+        made = {}
+        for at in np.split(order, np.flatnonzero(np.diff(own[order])) + 1):
+            halves = index.halves(data[at])
+            nearest = [
+                np.concatenate([distances(h[k : k + SLICE], codes).min(axis=1) for k in range(0, len(at), SLICE)])
+                for h, codes in zip(halves, (index.left, index.right), strict=True)
+            ]
+            made[int(own[at[0]])] = cls[at], n[at], data[at], halves, nearest
+        return made
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        here, parts, stored, out = None, [], None, []
+
+        def visiting(rows: tuple) -> None:
+            cls, n, own, cells, of, data = rows
+            order = np.argsort(cells, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(cells[order])) + 1):
+                here_stored = stored.get(int(cells[some[0]])) if some.size else None
+                if here_stored is not None:
+                    for k in range(0, some.size, SLICE):
+                        at = of[some[k : k + SLICE]]
+                        for j in range(0, len(here_stored[0]), 4 * SLICE):
+                            links((cls[at], n[at], own[at], data[at]), here_stored, slice(j, j + 4 * SLICE))
+
+        def links(probes: tuple, cell: tuple, part: slice) -> None:
+            cls, n, vectors = (x[part] for x in cell[:3])
+            hit = probes[3] @ vectors.T >= least
+            hit &= probes[0][:, None] != cls[None, :]
+            rows, cols = np.nonzero(hit)
+            if not rows.size:
+                return
+            found = np.bincount(rows, n[cols], len(probes[0]))
+            # The stored side counts the link here only if it does not visit the probe's cell itself.
+            codes, nth = np.unique(probes[2][rows], return_inverse=True)
+            far = np.zeros((len(cls), codes.size))
+            for half, nearest, book, code in zip(cell[3], cell[4], (index.left, index.right), np.divmod(codes, width), strict=True):
+                far += np.round(distances(half[part], book[code]) - nearest[part][:, None], 9)
+            back = np.bincount(cols, probes[1][rows] * (far[cols, nth] > index.excess), len(cls))
+            a, b = local_groups(hit, probes[0], cls)
+            some, other = np.unique(rows), np.unique(cols)
+            out.append((np.concatenate([probes[0][some], cls[other]]), np.concatenate([found[some], back[other]]).astype(np.int64), np.concatenate([a[some], b[other]])))
+
+        def opened() -> None:
+            """The stored rows are complete: index them by cell, and let them visit first."""
+            nonlocal stored
+            if stored is None:
+                stored = shelved(parts) if parts else {}
+                for rows in parts:
+                    visiting(rows)
+                parts.clear()
+
+        def made(least_rows: int) -> Iterable[pa.RecordBatch]:
+            if sum(len(x[0]) for x in out) > least_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["cls", "links", "other"])
+                out.clear()
 
-    def run(batches):
-        here, parts, stored = None, [], None
         for batch in batches:
-            cells, chunks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            probe = batch.column(2).to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero((np.diff(cells) != 0) | (np.diff(chunks) != 0) | (np.diff(probe.astype(np.int8)) != 0)) + 1
-            for begin, end in zip([0, *edges], [*edges, len(cells)], strict=True):
-                key = (cells[begin], chunks[begin])
-                if key != here:
-                    here, parts, stored = key, [], None
+            keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            edges = np.flatnonzero(np.any([np.diff(k.astype(np.int64)) != 0 for k in keys], axis=0)) + 1
+            for begin, end in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+                if (keys[0][begin], keys[1][begin]) != here:
+                    opened()
+                    here, stored = (keys[0][begin], keys[1][begin]), None
                 some = batch.slice(begin, end - begin)
-                rows = (some.column(3).to_numpy(), some.column(4).to_numpy(), some.column(5).to_numpy(), unit(some.column(6).to_pylist()))
-                if not probe[begin]:
+                lists = some.column(6)
+                of = np.repeat(np.arange(end - begin), pa.compute.list_value_length(lists).to_numpy())
+                rows = (*(some.column(i).to_numpy() for i in (3, 4, 5)), lists.flatten().to_numpy(), of, unit(some.column(7).to_pylist(), size))
+                if keys[2][begin]:
+                    opened()
+                    visiting(rows)
+                else:
                     parts.append(rows)
-                    continue
-                if not parts and stored is None:
-                    continue
-                if stored is None:
-                    stored = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-                    over = index.over(stored[3])
-                for at in range(0, len(rows[0]), 4096):
-                    yield from links(tuple(x[at : at + 4096] for x in rows), stored, over)
-
-    def links(probes, stored, over):
-        hit = probes[3] @ stored[3].T >= least
-        hit &= probes[0][:, None] != stored[0][None, :]
-        rows, cols = np.nonzero(hit)
-        if not rows.size:
-            return
-        found = np.bincount(rows, stored[1][cols], len(probes[0]))
-        # The stored side counts the link here only if it does not visit the probe's cell itself.
-        left, right = np.divmod(probes[2][rows], len(index.right))
-        unseen = over[0][cols, left] + over[1][cols, right] > index.excess
-        back = np.bincount(cols, probes[1][rows] * unseen, len(stored[0]))
-        a, b = local_groups(hit, probes[0], stored[0])
-        some, other = np.unique(rows), np.unique(cols)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([probes[0][some], stored[0][other]])),
-                pa.array(np.concatenate([found[some], back[other]]).astype(np.int64)),
-                pa.array(np.concatenate([a[some], b[other]])),
-            ],
-            names=["cls", "links", "other"],
-        )
+                yield from made(20_000)
+        opened()
+        yield from made(0)
 
     return run
 
@@ -209,17 +296,19 @@ def near_vectors(
     Codebooks come from SAMPLE classes per length at most, the first by a hash; everything else covers all.
     """
     spark = vectors.sparkSession
-    rows = staged(usable(vectors, id_col, vector_col).withColumn("digest", F.sha2("data", 256)), "vectors")
+    read = staged(usable(vectors, id_col, vector_col).withColumn("digest", F.unhex(F.sha2("data", 256))), "vectors")
     classes = staged(
-        rows.where("data is not null").groupBy("digest").agg(F.min("row").alias("cls"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("data").alias("data")),
+        read.where("data is not null").groupBy("digest").agg(F.min("row").alias("cls"), F.count("*").alias("n"), F.first("size").alias("size"), F.first("data").alias("data")),
         "vector-classes",
     )
+    rows = staged(read.select("row", "vec_id", "digest"), "vector-rows")
+    discard(read)
     found = None
     for size, count in classes.groupBy("size").count().orderBy("size").collect():  # one row per length of vectors
         own = classes.where(F.col("size") == size)
         sample = own.orderBy("digest").select("data").limit(SAMPLE).collect()
-        index = MultiIndex.fit(unit([bytes(r[0]) for r in sample]), count, least, recall)
-        made = linked(own, index, least)
+        index = MultiIndex.fit(unit([bytes(r[0]) for r in sample], size), count, least, recall)
+        made = linked(own, index, least, size)
         found = made if found is None else found.unionByName(made)
     if found is None:
         found = spark.createDataFrame([], "cls long, links long, other long")
@@ -236,23 +325,50 @@ def near_vectors(
     return placed.join(smallest, F.col("root") == F.col("of_root")).select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def linked(classes: DataFrame, index: MultiIndex, least: float) -> DataFrame:
-    """cls, links, other: links found in each chunk of each visited cell, and a member of the same group."""
+def linked(classes: DataFrame, index: MultiIndex, least: float, size: int) -> DataFrame:
+    """cls, links, other: links found in each chunk of each visited shelf, and a member of the same group."""
     width = len(index.right)
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        over = index.over(unit(batch.column(2).to_pylist()))
-        own = np.argmin(over[0], axis=1) * width + np.argmin(over[1], axis=1)
-        visited = pa.array(index.visits(over), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own), visited, batch.column(2)], names=["cls", "n", "own", "visited", "data"])
-
-    placed = staged(map_batches(classes.select("cls", "n", "data"), place, "cls long, n long, own long, visited array<long>, data binary"), "vector-cells")
-    chunks = placed.groupBy(F.col("own").alias("cell")).agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
-    stored = placed.join(chunks, F.col("own") == F.col("cell")).select("cell", F.pmod(F.xxhash64("cls"), "chunks").alias("chunk"), F.lit(False).alias("probe"), "cls", "n", "own", "data")
-    probes = (
-        placed.select("cls", "n", "own", "data", F.explode("visited").alias("to"))
-        .join(chunks, F.col("to") == F.col("cell"))
-        .select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("probe"), "cls", "n", "own", "data")
-    )
-    together = stored.unionByName(probes).repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "probe")
-    return together.mapInArrow(compare(index, least), "cls long, links long, other long")
+        own, visited = [], []
+        for k in range(0, batch.num_rows, SLICE):
+            over = index.over(unit(batch.column(2).slice(k, SLICE).to_pylist(), size))
+            own.append(np.argmin(over[0], axis=1) * width + np.argmin(over[1], axis=1))
+            visited += index.visits(over)
+        own = pa.array(np.concatenate(own).astype(np.int32)) if own else pa.array([], pa.int32())
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own, pa.array(visited, pa.list_(pa.int32())), batch.column(2)], names=["cls", "n", "own", "visited", "data"])
+
+    placed = staged(map_batches(classes.select("cls", "n", "data"), place, "cls long, n long, own int, visited array<int>, data binary"), "vector-cells")
+    # Bounded by the cells of the grid, whatever the number of vectors.
+    counts = np.zeros(len(index.left) * width, dtype=np.int64)
+    stored = placed.groupBy("own").count().toPandas()
+    counts[stored["own"].to_numpy()] = stored["count"].to_numpy()
+    shared = classes.sparkSession.sparkContext.broadcast(Shelves.of(counts, width, max(1, min(SHELF, SHELF_BYTES // (8 * size)))))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        """Each vector to all chunks of the shelves with cells that it visits; it is stored in one chunk of its own cell's."""
+        shelves = shared.value
+        for batch in batches:
+            at, shelf, chunk, probe, cells = [], [], [], [], []
+            cls, own = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for nth, visited in enumerate(batch.column(3)):
+                visited = visited.values.to_numpy()
+                on = shelves.of_cell[visited]
+                for s in np.unique(on[on >= 0]).tolist():
+                    some, many = visited[on == s], int(shelves.chunks[s])
+                    home = int(cls[nth]) * 0x9E3779B1 % many if s == shelves.of_cell[own[nth]] else -1
+                    for c in range(many):
+                        at.append(nth)
+                        shelf.append(s)
+                        chunk.append(c)
+                        probe.append(c != home)
+                        cells.append(some)
+                if len(at) > 10_000 or nth + 1 == batch.num_rows:
+                    rows = batch.select(["cls", "n", "own", "data"]).take(pa.array(at, pa.int64()))
+                    columns = [pa.array(shelf, pa.int32()), pa.array(chunk, pa.int32()), pa.array(probe, pa.bool_()), *rows.columns[:3], pa.array(cells, pa.list_(pa.int32())), rows.column(3)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["shelf", "chunk", "probe", "cls", "n", "own", "cells", "data"])
+                    at, shelf, chunk, probe, cells = [], [], [], [], []
+
+    schema = "shelf int, chunk int, probe boolean, cls long, n long, own int, cells array<int>, data binary"
+    together = placed.mapInArrow(send, schema).repartition("shelf", "chunk").sortWithinPartitions("shelf", "chunk", "probe")
+    return together.mapInArrow(compare(index, least, size), "cls long, links long, other long")

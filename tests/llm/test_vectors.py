@@ -36,10 +36,10 @@ def table(spark, rows):
     return spark.createDataFrame([(*r, "c", 1) for r in rows], "vec_id long, embedding array<float>, cls string, n int")
 
 
-@pytest.mark.parametrize("chunk", [2048, 7])
-def test_against_brute_force(spark, monkeypatch, chunk):
-    """Clusters of near copies, a hot exact group, and vectors that can't be compared."""
-    monkeypatch.setattr(vectors, "CHUNK", chunk)
+@pytest.mark.parametrize("shelf", [16_384, 7, 1])
+def test_against_brute_force(spark, monkeypatch, shelf):
+    """Clusters of near copies, a hot exact group, and vectors that can't be compared; shelves whole and cut into chunks."""
+    monkeypatch.setattr(vectors, "SHELF", shelf)
     rng = np.random.default_rng(5)
     found = [rng.normal(size=16) for _ in range(150)]
     for base in list(found[:20]):
@@ -79,3 +79,29 @@ def test_recall_at_the_threshold():
     cell = i * len(index.right) + j
     seen = [c in set(v.tolist()) for c, v in zip(cell, index.visits(index.over(x)), strict=True)]
     assert np.mean(seen) > 0.98
+
+
+def test_visits_are_all_cells_up_to_the_excess_in_order():
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index = vectors.MultiIndex.fit(x, 2000, 0.95, 0.995)
+    over = index.over(x)
+    for left, right, seen in zip(*over, index.visits(over), strict=True):
+        sums = (left[:, None] + right[None, :]).reshape(-1)
+        assert sorted(seen.tolist()) == np.flatnonzero(sums <= index.excess).tolist()
+        assert (np.diff(sums[seen]) >= 0).all() and sums[seen[0]] == 0
+
+
+def test_shelves_hold_neighbouring_cells_of_one_left_code():
+    counts = np.array([5, 0, 3, 9, 0, 0, 0, 0, 1, 100, 0, 2])
+    made = vectors.Shelves.of(counts, 4, 8)
+    assert made.of_cell.tolist() == [0, -1, 0, 1, -1, -1, -1, -1, 2, 2, -1, 3]
+    assert made.chunks.tolist() == [1, 1, 7, 1]
+
+
+def test_components_beyond_single_precision_are_kept():
+    rows = [np.array([1.0, 0.1]), np.array([0.5, 0.25]), np.array([1e40, 1.0])]
+    data = [vectors.packed(r) for r in rows]
+    assert [len(d) for d in data] == [16, 8, 16]
+    assert np.array_equal(vectors.unit(data, 2), np.array([r / np.linalg.norm(r[None], axis=1) for r in rows]))
