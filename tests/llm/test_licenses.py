@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import math
+import random
 import re
 
-from starmart.llm.licenses import scan_licenses
+import pytest
+
+from starmart.llm.licenses import TEMPLATES, scan_licenses
 from tests.llm import corpus
 
 PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
@@ -46,3 +50,56 @@ def test_rare_words_of_a_corpus_without_licenses(spark):
     got = scan_licenses(corpus.documents(spark)).collect()
     assert len(got) == corpus.documents(spark).count() and all(r["labels"] == "" for r in got)
     assert scan_licenses(corpus.empty(spark)).count() == 0
+
+
+def all_labels(texts: list[str | None], least: float = 0.6) -> list[tuple[str, float]]:
+    """Labels and score of each text: every template held against every place."""
+    rows = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(SMALL)) for t in texts]
+    idf = lambda w: math.log((1 + len(rows)) / (1 + sum(w in r for r in rows))) + 1
+    weights = [[idf(w) for w in text.split()] for _, _, text, _ in TEMPLATES]
+    out = []
+    for row in rows:
+        found, best = set(), 0.0
+        for (label, key, text, base), weight in zip(TEMPLATES, weights, strict=True):
+            words, wanted = text.split(), key.split()
+            ahead = next(i for i in range(len(words)) if words[i : i + len(wanted)] == wanted)
+            for at in range(len(row)):
+                if row[at : at + len(wanted)] == wanted:
+                    start = at - ahead
+                    held = sum(w for k, w in enumerate(weight) if 0 <= start + k < len(row) and row[start + k] == words[k]) / sum(weight)
+                    if base or held >= least:
+                        found.add(label)
+                        best = max(best, min(1.0, held))
+        out.append((",".join(sorted(found)), best))
+    return out
+
+
+def test_labels_and_score_against_every_place(spark):
+    """Whole templates, bare key phrases, broken ones, and templates that run over the ends of a file, among their own words."""
+    rng = random.Random(4)
+    vocabulary = sorted({w for _, _, text, _ in TEMPLATES for w in text.split()}) + ["plain", "words", "été"]
+    texts: list[str | None] = [None, "", "..."]
+    for nth, (_, key, text, _) in enumerate(TEMPLATES):
+        broken = text.split()
+        broken[rng.randrange(len(broken))] = "plain"
+        for part in (text, key, " ".join(broken), text.upper().replace(" ", "-")):
+            noise = [" ".join(rng.choices(vocabulary, k=rng.randrange(0, 30))) for _ in range(2)]
+            texts.append(f"{noise[0]} {part} {noise[1]}" if nth % 3 else part)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in scan_licenses(docs).collect()}
+    for doc_id, (labels, score) in enumerate(all_labels(texts)):
+        assert got[doc_id][0] == labels, texts[doc_id]
+        assert got[doc_id][1] == pytest.approx(score, abs=1e-9)
+
+
+def test_bodies_without_a_title(spark):
+    bodies = {
+        "mit": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "apache": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "bsd": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "gnu": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even",
+    }
+    plain = ["The software was provided without any notice, and nobody may use this file.", "in the hope that it is useful"]
+    docs = spark.createDataFrame(list(enumerate([*bodies.values(), *plain])), "doc_id long, text string")
+    got = [r["labels"] for r in scan_licenses(docs).orderBy("doc_id").collect()]
+    assert got == [*bodies, "", ""]
