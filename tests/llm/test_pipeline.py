@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -57,6 +58,50 @@ def test_stages_take_effect(spark):
     assert sorted(map(tuple, contract.queries()["pipeline"](spark, FOLDER).collect())) == wanted
 
 
+def folder_of(spark, path, documents, labels, benchmark):
+    for name, df in (("documents", documents), ("labels", labels), ("benchmark", benchmark)):
+        df.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_awkward_rows_pass_all_stages(spark, tmp_path):
+    """Null ids and texts, empty and very long texts, repeated rows, and columns named like those that the stages make."""
+    given = {name: spark.read.parquet(f"{FOLDER}/{name}.parquet") for name in ("documents", "labels", "benchmark")}
+    docs = given["documents"]
+    text, doc_id = docs.schema["text"].dataType, docs.schema["doc_id"].dataType
+    some = docs.orderBy("doc_id").limit(20)
+    awkward = (
+        docs.unionByName(some)
+        .unionByName(some.withColumn("doc_id", F.lit(None).cast(doc_id)))
+        .unionByName(some.limit(3).withColumn("doc_id", F.col("doc_id") + 1_000_000).withColumn("text", F.lit(None).cast(text)))
+        .unionByName(some.limit(3).withColumn("doc_id", F.lit(None).cast(doc_id)).withColumn("text", F.lit("")).withColumn("source", F.lit(None).cast("string")))
+        .unionByName(some.limit(2).withColumn("doc_id", F.col("doc_id") + 2_000_000).withColumn("text", F.repeat("text", 400)))
+    )
+    awkward = awkward.withColumns({name: F.lit(value) for name, value in (("row", 7), ("words", "w"), ("size", 2.5), ("score", "x"), ("copies", 1), ("cls", 3))})
+    folder = folder_of(spark, tmp_path, awkward, given["labels"], given["benchmark"])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, before = docs.columns, {tuple(r) for r in docs.collect()}
+    steps = [step for _, step in corpus_pipeline.STAGES]
+    for nth, step in enumerate(steps[:-1]):
+        docs = staged(step(spark, docs, folder), "test-stage")
+        rows = [tuple(r) for r in docs.collect()]
+        assert docs.columns == columns and rows and set(rows) <= before
+        before = set(rows)
+        if nth == 1:
+            texts = [r["text"] for r in docs.collect() if r["text"] and r["text"].strip()]
+            assert len(texts) == len(set(texts)) > 0
+    made = steps[-1](spark, docs, folder).collect()
+    assert Counter(r["doc_id"] for r in made) == Counter(r["doc_id"] for r in docs.collect())
+    spans = sorted((r["start"], r["start"] + r["n_tokens"]) for r in made)
+    assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_empty_tables_pass_all_stages(spark, tmp_path):
+    empty = [spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0) for name in ("documents", "labels", "benchmark")]
+    made = corpus_pipeline.run(spark, folder_of(spark, tmp_path, *empty))
+    assert made.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"] and made.count() == 0
+
+
 def test_every_operator_has_a_query():
     names = {name.split("_")[0] for name in QUERIES}
     assert names == {f"op{n}" for n in range(1, 14)}
