@@ -200,10 +200,11 @@ def met(sets: DataFrame) -> DataFrame:
     """gram, cls, n, pos, pivot, pivot_n, pivot_pos: the classes at each first n-gram that several have, and the least of them.
 
     All first n-grams pass once, sorted, and nothing but the least class of the n-gram at hand is held. Those of a HOT n-gram are dealt
-    into SALTS parts with a pivot each.
+    into SALTS parts with a pivot each; there the pivot comes along even if it is alone, as other parts may hold its partners.
     """
     rows = sets.where("prefix is not null").select("cls", "n", "calm", F.posexplode("prefix").alias("pos", "gram"))
-    salt = F.when(F.col("pos") >= F.col("calm"), F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    # Salts of HOT n-grams start at 1.
+    salt = F.when(F.col("pos") >= F.col("calm"), F.pmod("cls", F.lit(SALTS)) + 1).otherwise(F.lit(0).cast("long"))
     dealt = rows.select("gram", salt.alias("salt"), "cls", "n", "pos").repartition("gram", "salt").sortWithinPartitions("gram", "salt", "cls")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -219,8 +220,8 @@ def met(sets: DataFrame) -> DataFrame:
             held = [np.concatenate([[p], x]) for p, x in zip(pivot, (cls, n, pos), strict=True)]
             p_cls, p_n, p_pos = (x[first] for x in held)
             partner = same & (cls != p_cls) & (cls != before)
-            # The pivot itself comes along with its first partner.
-            opens = partner & (before == p_cls)
+            # The pivot itself comes along with its first partner, at a HOT n-gram at once.
+            opens = np.where(salt > 0, ~same, partner & (before == p_cls))
             columns = [np.concatenate([gram[partner], gram[opens]])]
             columns += [np.concatenate([x[partner], p[opens]]) for x, p in ((cls, p_cls), (n, p_n), (pos, p_pos))]
             columns += [np.concatenate([p[partner], p[opens]]) for p in (p_cls, p_n, p_pos)]

@@ -137,3 +137,19 @@ def test_hot_ngrams_and_blocks(spark, monkeypatch):
         monkeypatch.setattr(jaccard, name, value)
     got = sorted(map(tuple, gram_links(docs).select("doc_id", "n_shingles", "component_id").collect()))
     assert got == sorted(brute(rows)) and len({c for _, _, c in got}) < 70
+
+
+def test_sets_alone_in_their_part_of_a_hot_ngram_link(spark, monkeypatch):
+    """Every n-gram that two sets share is hot, and each set lies in a part of its own."""
+    rng = random.Random(12)
+    texts = []
+    for size, copies in ((60, 2), (60, 3), (90, 4)):
+        base = corpus.words(rng, size)
+        texts += [edited(rng, base, k > 0) for k in range(copies)]
+    rows = list(enumerate(texts)) + [(100 + k, text) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    for name, value in (("HOT", 1), ("SALTS", 1_000_000_007)):
+        monkeypatch.setattr(jaccard, name, value)
+    got = sorted(map(tuple, gram_links(docs).select("doc_id", "n_shingles", "component_id", "n_links").collect()))
+    assert got == sorted((*row, n) for row, n in zip(brute(rows), links_of(rows), strict=True))
+    assert {c for _, _, c, _ in got} == {0, 2, 5}
