@@ -15,12 +15,17 @@ BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 1
 BLOCK = 256
 _LIMIT = np.uint64(1) << np.uint64(60)
+_EDGES = np.array([1 << b for b in range(1, 61)], dtype=np.uint64)
+# Bits of the values below 2^16.
+_SMALL = (np.searchsorted(_EDGES, np.arange(1 << 16, dtype=np.uint64), side="right") + 1).astype(np.uint8)
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """Bits that each value needs, 1 at least; 61 stands for more than 60."""
-    edges = np.array([1 << b for b in range(1, 61)], dtype=np.uint64)
-    return (np.searchsorted(edges, values, side="right") + 1).astype(np.uint8)
+    width = _SMALL[np.minimum(values, np.uint64(_SMALL.size - 1)).astype(np.int64)]
+    large = np.flatnonzero(values >= _SMALL.size)
+    width[large] = np.searchsorted(_EDGES, values[large], side="right") + 1
+    return width
 
 
 def _slots_taken(width: np.ndarray) -> np.ndarray:
@@ -40,7 +45,7 @@ def _slots_taken(width: np.ndarray) -> np.ndarray:
 
     taken = np.ones(width.shape, dtype=np.uint8)
     for slots, bits in zip(reversed(SLOTS), reversed(BITS), strict=True):
-        taken[window(slots) <= bits] = slots
+        np.copyto(taken, slots, where=window(slots) <= bits)
     return taken
 
 
@@ -54,35 +59,36 @@ def encode(values: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     nth = np.arange(n_blocks) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     begins = np.repeat(np.cumsum(lengths) - lengths, blocks) + nth * BLOCK
     sizes = np.minimum(BLOCK, np.repeat(lengths, blocks) - nth * BLOCK)
-    grid = np.zeros((n_blocks, BLOCK + SLOTS[0]), dtype=np.uint64)
-    inside = np.arange(BLOCK) < sizes[:, None]
-    grid[:, :BLOCK][inside] = values
-    width = _widths(grid.ravel()).reshape(grid.shape)
-    taken = _slots_taken(width)
-    place, words = np.zeros(n_blocks, np.int64), np.zeros(n_blocks, np.int64)
-    rows, starts, at = [], [], []
-    live = np.arange(n_blocks)
-    while live.size:
-        here = place[live]
-        rows.append(live)
-        starts.append(here)
-        at.append(words[live].copy())
-        words[live] += 1 + (width[live, here] > 60)
-        place[live] = here + taken[live, here]
-        live = live[place[live] < sizes[live]]
-    rows, starts, at = np.concatenate(rows), np.concatenate(starts), np.concatenate(at)
-    target = (np.cumsum(words) - words)[rows] + at
+    # A row per block; behind its values come zeros, which any word may take.
+    row = BLOCK + SLOTS[0]
+    inside = np.arange(row) < sizes[:, None]
+    grid, width = np.zeros(inside.shape, dtype=np.uint64), np.ones(inside.shape, dtype=np.uint8)
+    grid[inside], width[inside] = values, _widths(values)
+    taken = _slots_taken(width).ravel()
+    grid, width = grid.ravel(), width.ravel()
+    begin = np.zeros(grid.size, dtype=bool)
+    here = np.arange(n_blocks) * row
+    end = here + sizes
+    while here.size:
+        begin[here] = True
+        here = here + taken[here]
+        live = here < end
+        here, end = here[live], end[live]
+    starts = np.flatnonzero(begin)
+    wide = width[starts] > 60
+    words = np.bincount(starts // row, 1 + wide, n_blocks).astype(np.int64)
+    target = np.cumsum(1 + wide) - (1 + wide)
     out = np.zeros(int(words.sum()), dtype=np.uint64)
-    wide = width[rows, starts] > 60
     out[target[wide]] = np.uint64(ESCAPE) << np.uint64(60)
-    out[target[wide] + 1] = grid[rows[wide], starts[wide]]
-    count = np.where(wide, 0, taken[rows, starts])
+    out[target[wide] + 1] = grid[starts[wide]]
+    count = np.where(wide, 0, taken[starts])
     for selector, (slots, bits) in enumerate(zip(SLOTS, BITS, strict=True), 2):
         chosen = np.flatnonzero(count == slots)
         if chosen.size:
             packed = np.full(chosen.size, selector, dtype=np.uint64) << np.uint64(60)
+            first = starts[chosen]
             for k in range(slots):
-                packed |= grid[rows[chosen], starts[chosen] + k] << np.uint64(bits * k)
+                packed |= grid[first + k] << np.uint64(bits * k)
             out[target[chosen]] = packed
     return out, words, blocks
 

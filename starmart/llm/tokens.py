@@ -8,8 +8,10 @@ ids, the words of every block and the words themselves. Shards hold ascending ra
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +20,41 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm import simple8b
+from starmart.llm.bpe import byte_letters
 from starmart.llm.common import map_batches
 from starmart.session import scratch_path
 
 FORMAT = "shard int, doc_id long, place long, n_tokens long, block_words binary, words binary"
 SLICE_CHARS = 4_000_000
-CACHED_WORDS = 400_000
+#: Words that an encoder remembers, and as many older ones.
+CACHED_WORDS = 250_000
+#: Printable ASCII but for the apostrophe, which begins words of its own, and what such a piece falls into once it is lower-cased.
+SIMPLE = re.compile("[!-&(-~]*")
+WORDS = re.compile("[a-z]+|[0-9]|[^a-z0-9]+")
+#: Latin and Cyrillic letters. None joins with another to a third, so a word of them is normalized letter by letter.
+LETTERS = [c for c in map(chr, (*range(0x41, 0x250), *range(0x400, 0x530))) if c.isalpha() and len(c.lower()) == 1]
+_BYTES = str.maketrans(dict(enumerate(byte_letters())))
+
+
+class Remembered(dict):
+    """What was made for the last keys. When it is full its entries become the older ones, from which those still in use come back."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.older.get(key)
+        if made is None:
+            made = self.make(key)
+        self.turn()
+        self[key] = made
+        return made
+
+    def turn(self) -> None:
+        if len(self) >= CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
 
 
 class WordEncoder:
@@ -33,6 +64,9 @@ class WordEncoder:
     between two spaces that are letters with at most one full stop or comma behind share the ids of their
     letters; these are asked in long strings, in which every word is one of the library's words. All other
     pieces are asked one by one.
+
+    Words of letters whose lower case and bytes are certain, and the words of SIMPLE pieces, go to the library's model itself. Whether
+    the tokenizer treats them so is tried on all such letters and marks at the start; if it does not, none goes that way.
     """
 
     def __init__(self, path: str):
@@ -40,14 +74,38 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = Remembered(self.ids_of)
+        self.letters = Remembered(self.ask_model)
         self.marks = {"": b"", ".": self.ask(".")[0], ",": self.ask(",")[0]}
+        self.added = [str(made) for made in self.tokenizer.get_added_tokens_decoder().values()]
+        self.lower = {ord(c): c.lower() for c in LETTERS}
+        self.direct = self.as_expected()
+        self.certain = re.compile(f"[{''.join(LETTERS)}]+")
+        self.plain = re.compile(f"[\\s!-~{''.join(LETTERS)}]*")
+
+    def as_expected(self) -> bool:
+        """Whether the tokenizer lower-cases all LETTERS one by one and splits simple pieces into WORDS, as bytes."""
+        if self.tokenizer.normalizer is None or self.tokenizer.pre_tokenizer is None:
+            return False
+        marks = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+        ends = [f"{a}{m}{b}{m}{m}" for m in marks for a, b in ("aB", "19", "z0", "7Q")]
+        pieces = ["".join(LETTERS), *(f"a{c}{c}z" for c in LETTERS), *ends, marks, "0123456789", "a1b22c"]
+        wanted = [[p.translate(self.lower).encode().decode("latin-1").translate(_BYTES)] if p.isalpha() else WORDS.findall(p.lower()) for p in pieces]
+        made = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(" ".join(pieces)))
+        return [word for word, _ in made] == [word for words in wanted for word in words]
 
     def ask(self, *pieces: str) -> list[bytes]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [np.array(made.ids, dtype="<u4").tobytes() for made in encode(list(pieces), add_special_tokens=False)]
 
+    def ask_model(self, word: str) -> bytes:
+        """Ids of a word that is lower-cased already."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        ids = [token.id for token in self.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ask_letters(self, words: list[str]) -> None:
         for begin in range(0, len(words), 2000):
             some = words[begin : begin + 2000]
@@ -59,9 +117,33 @@ class WordEncoder:
             raw, ends = np.array(made.ids, dtype="<u4").tobytes(), [0, *(4 * cuts).tolist(), 4 * len(made.ids)]
             self.letters.update((word, raw[ends[i] : ends[i + 1]]) for i, word in enumerate(some))
 
+    def quick(self, piece: str) -> bytes | None:
+        """Ids of a piece whose words go to the model itself; null for others."""
+        mark = piece[-1:] if piece.endswith((".", ",")) else ""
+        word = piece[:-1] if mark else piece
+        if word.isalpha():
+            if word.isascii():
+                ids = self.letters[word.lower()]
+            elif self.certain.fullmatch(word):
+                ids = self.letters[word.translate(self.lower)]
+            else:
+                return None
+            return ids + self.marks[mark] if mark else ids
+        if SIMPLE.fullmatch(piece) and not any(made in piece for made in self.added):
+            return b"".join([self.letters[x] for x in WORDS.findall(piece.lower())])
+        return None
+
+    def ids_of(self, piece: str) -> bytes:
+        made = self.quick(piece) if self.direct else None
+        return self.ask(piece)[0] if made is None else made
+
     def learn(self, new: list[str]) -> None:
+        """Ids of pieces of other scripts, many at once."""
         parts, odd = [], []
         for piece in new:
+            if self.direct and (made := self.quick(piece)) is not None:
+                self.known[piece] = made
+                continue
             mark = piece[-1:] if piece.endswith((".", ",")) else ""
             word = piece[:-1] if mark else piece
             if word.isascii():
@@ -76,11 +158,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        if len(self.letters) > CACHED_WORDS:
-            self.letters = {}
-        self.learn([piece for piece in set().union(*pieces) if piece not in self.known])
+        other = [words for words, text in zip(pieces, texts, strict=True) if not self.direct or not self.plain.fullmatch(text)]
+        self.known.turn()
+        self.letters.turn()
+        self.learn([piece for piece in set().union(*other) if piece not in self.known])
         return [b"".join(map(self.known.__getitem__, words)) for words in pieces]
 
 
